@@ -22,10 +22,121 @@ def query(name: str):
 
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``trip_delays`` fact table computed from the given tables."""
-    return trip_delays(B.stop_updates(spark, sf_dir), B.stop_times(spark, sf_dir),
+    return trip_delays(B.stop_updates(spark, sf_dir), B.stop_times_raw(spark, sf_dir),
                        keys=B.KEYS, order="arrival_order")
 
 
 @query("c2_trip_delays")
 def c2_trip_delays(spark, sf_dir):
     return facts(spark, sf_dir)
+
+
+# ---------------------------------------------------------------- serving
+from pyspark.sql import functions as F  # noqa: E402
+
+from adherence.functions.labels import display_label  # noqa: E402
+from adherence.operators import serving as S  # noqa: E402
+
+
+def selected_trip(spark, sf_dir) -> DataFrame:
+    """The trip the dashboard shows first: the highest trip id among the
+    facts that has a trip row (one row, derived from the data)."""
+    ids = facts(spark, sf_dir).select("trip_id").join(B.trips(spark, sf_dir).select("trip_id"),
+                                                      "trip_id", "left_semi")
+    return ids.agg(F.max("trip_id").alias("trip_id"))
+
+
+@query("c5_trip_options")
+def c5_trip_options(spark, sf_dir):
+    return S.trip_options(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+
+
+@query("o5_label_unique")
+def o5_label_unique(spark, sf_dir):
+    return S.option_map(c5_trip_options(spark, sf_dir))
+
+
+@query("o1_top_k")
+def o1_top_k(spark, sf_dir):
+    rows = (S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+            .select("trip_id", "route_id", "route_short_name", "trip_headsign").distinct())
+    return S.top_k(rows, "trip_id", 100, ["route_id", "route_short_name", "trip_headsign"])
+
+
+@query("a4_group_dedup")
+def a4_group_dedup(spark, sf_dir):
+    return (S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+            .select("trip_id", "route_id", "route_short_name", "trip_headsign").distinct())
+
+
+@query("c6_late_stops")
+def c6_late_stops(spark, sf_dir):
+    return S.late_stops(facts(spark, sf_dir), selected_trip(spark, sf_dir))
+
+
+@query("c6_late_stops_all")
+def c6_late_stops_all(spark, sf_dir):
+    return S.late_stops(facts(spark, sf_dir), None)
+
+
+@query("p13_late_filter")
+def p13_late_filter(spark, sf_dir):
+    return facts(spark, sf_dir).filter("delay_seconds > 0")
+
+
+@query("p12_key_filter")
+def p12_key_filter(spark, sf_dir):
+    return S.key_filter(facts(spark, sf_dir), "trip_id", selected_trip(spark, sf_dir))
+
+
+@query("p14_series_project")
+def p14_series_project(spark, sf_dir):
+    return S.delay_series(facts(spark, sf_dir), selected_trip(spark, sf_dir))
+
+
+@query("o2_sort")
+def o2_sort(spark, sf_dir):
+    return S.late_stops(facts(spark, sf_dir), selected_trip(spark, sf_dir))
+
+
+@query("c7_trip_info")
+def c7_trip_info(spark, sf_dir):
+    return S.trip_info(B.trips(spark, sf_dir), selected_trip(spark, sf_dir)).drop("trip_id")
+
+
+@query("o4_first_row")
+def o4_first_row(spark, sf_dir):
+    """First timetable row of every trip (O4 per key)."""
+    st = B.stop_times(spark, sf_dir)
+    return st.groupBy("trip_id").agg(F.min(F.struct("stop_sequence", "stop_id", "arrival_time")).alias("r")) \
+             .select("trip_id", "r.stop_sequence", "r.stop_id", "r.arrival_time")
+
+
+@query("j3_fact_trip_join")
+def j3_fact_trip_join(spark, sf_dir):
+    t = B.trips(spark, sf_dir).select("trip_id", "route_id", "trip_headsign")
+    return facts(spark, sf_dir).select("trip_id", "stop_id", "stop_sequence", "delay_seconds") \
+        .join(t, "trip_id", "inner")
+
+
+@query("j4_trip_route_join")
+def j4_trip_route_join(spark, sf_dir):
+    return B.trips(spark, sf_dir).select("trip_id", "route_id") \
+        .join(B.routes(spark, sf_dir).select("route_id", "route_short_name"), "route_id", "left")
+
+
+@query("r6_enrich")
+def r6_enrich(spark, sf_dir):
+    return S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+
+
+@query("f8_display_label")
+def f8_display_label(spark, sf_dir):
+    return j4_trip_route_join(spark, sf_dir).join(B.trips(spark, sf_dir).select("trip_id", "trip_headsign"),
+                                                  "trip_id") \
+        .select("trip_id", display_label().alias("display"))
+
+
+@query("p1_project")
+def p1_project(spark, sf_dir):
+    return B.trips(spark, sf_dir).select("trip_id", "route_id")

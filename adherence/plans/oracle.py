@@ -70,3 +70,56 @@ def with_bind(body: str) -> str:
 SQL: dict[str, str] = {}
 
 SQL["c2_trip_delays"] = with_bind("SELECT * FROM trip_delays")
+
+_SEL = "(SELECT max(trip_id) FROM trip_delays WHERE trip_id IN (SELECT trip_id FROM trips))"
+_LABEL = ("'Trip: ' || coalesce(CAST(trip_id AS VARCHAR), 'None') || ' | Route: ' || "
+          "coalesce(CAST(route_short_name AS VARCHAR), 'None') || ' | Headsign: ' || "
+          "coalesce(CAST(trip_headsign AS VARCHAR), 'None')")
+_C5 = f"""
+, opts AS (
+  SELECT td.trip_id, dt.route_id, dr.route_short_name, dt.trip_headsign
+  FROM trip_delays td JOIN trips dt ON td.trip_id = dt.trip_id
+  LEFT JOIN routes dr ON dt.route_id = dr.route_id
+  GROUP BY td.trip_id, dt.route_id, dr.route_short_name, dt.trip_headsign
+  ORDER BY td.trip_id DESC, dt.route_id NULLS LAST, dr.route_short_name NULLS LAST,
+           dt.trip_headsign NULLS LAST
+  LIMIT 100)
+"""
+SQL["c5_trip_options"] = with_bind(_C5 + f"SELECT *, {_LABEL} AS display FROM opts")
+SQL["o5_label_unique"] = with_bind(_C5 + f"SELECT {_LABEL} AS display, max(trip_id) AS trip_id FROM opts GROUP BY 1")
+SQL["o1_top_k"] = with_bind(_C5 + "SELECT * FROM opts")
+SQL["a4_group_dedup"] = with_bind("""
+SELECT td.trip_id, dt.route_id, dr.route_short_name, dt.trip_headsign
+FROM trip_delays td JOIN trips dt ON td.trip_id = dt.trip_id LEFT JOIN routes dr ON dt.route_id = dr.route_id
+GROUP BY td.trip_id, dt.route_id, dr.route_short_name, dt.trip_headsign""")
+_LATE = "SELECT stop_sequence, stop_id, scheduled_epoch, actual_epoch, delay_seconds FROM trip_delays"
+SQL["c6_late_stops"] = with_bind(f"{_LATE} WHERE trip_id = {_SEL} AND delay_seconds > 0 ORDER BY stop_sequence")
+SQL["o2_sort"] = SQL["c6_late_stops"]
+SQL["c6_late_stops_all"] = with_bind(
+    "SELECT trip_id, stop_sequence, stop_id, scheduled_epoch, actual_epoch, delay_seconds FROM trip_delays "
+    "WHERE delay_seconds > 0")
+SQL["p13_late_filter"] = with_bind("SELECT * FROM trip_delays WHERE delay_seconds > 0")
+SQL["p12_key_filter"] = with_bind(f"SELECT * FROM trip_delays WHERE trip_id = {_SEL}")
+SQL["p14_series_project"] = with_bind(
+    f"SELECT stop_sequence, delay_seconds FROM trip_delays WHERE trip_id = {_SEL} AND delay_seconds > 0")
+SQL["c7_trip_info"] = with_bind(
+    f"SELECT route_id, trip_headsign, direction_id FROM trips WHERE trip_id = {_SEL} "
+    "ORDER BY route_id, trip_headsign, direction_id LIMIT 1")
+SQL["o4_first_row"] = with_bind("""
+SELECT trip_id, r.stop_sequence AS stop_sequence, r.stop_id AS stop_id, r.arrival_time AS arrival_time FROM (
+  SELECT trip_id, min(struct_pack(stop_sequence := stop_sequence, stop_id := stop_id,
+                                  arrival_time := arrival_time)) AS r
+  FROM stop_times GROUP BY trip_id)""")
+SQL["j3_fact_trip_join"] = with_bind("""
+SELECT td.trip_id, td.stop_id, td.stop_sequence, td.delay_seconds, dt.route_id, dt.trip_headsign
+FROM trip_delays td JOIN trips dt ON td.trip_id = dt.trip_id""")
+SQL["j4_trip_route_join"] = with_bind("""
+SELECT dt.route_id, dt.trip_id, dr.route_short_name FROM trips dt LEFT JOIN routes dr ON dt.route_id = dr.route_id""")
+SQL["r6_enrich"] = with_bind("""
+SELECT td.*, dt.route_id, dt.trip_headsign, dt.direction_id, dr.route_short_name
+FROM trip_delays td JOIN trips dt ON td.trip_id = dt.trip_id LEFT JOIN routes dr ON dt.route_id = dr.route_id""")
+SQL["f8_display_label"] = with_bind(f"""
+SELECT trip_id, {_LABEL} AS display FROM (
+  SELECT dt.trip_id, dr.route_short_name, dt.trip_headsign
+  FROM trips dt LEFT JOIN routes dr ON dt.route_id = dr.route_id)""")
+SQL["p1_project"] = with_bind("SELECT trip_id, route_id FROM trips")
