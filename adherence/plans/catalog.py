@@ -140,3 +140,157 @@ def f8_display_label(spark, sf_dir):
 @query("p1_project")
 def p1_project(spark, sf_dir):
     return B.trips(spark, sf_dir).select("trip_id", "route_id")
+
+
+# ---------------------------------------------------------------- quality
+from adherence import schemas as SC  # noqa: E402
+from adherence.operators import quality as Q  # noqa: E402
+from adherence.plans.pipelines import load_static  # noqa: E402
+from adherence.session import work_path  # noqa: E402
+from adherence.sources.csv import load_csv  # noqa: E402
+
+
+def bound_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    return {"routes": B.routes(spark, sf_dir), "trips": B.trips(spark, sf_dir),
+            "stops": B.stops(spark, sf_dir), "calendar": B.calendar(spark, sf_dir),
+            "stop_times": B.stop_times_raw(spark, sf_dir)}
+
+
+def quality_report(spark, sf_dir) -> DataFrame:
+    tabs = bound_tables(spark, sf_dir)
+    parts = [Q.table_checks(df, name, SC.PRIMARY_KEYS[name], SC.STATIC_SCHEMAS[name])
+             for name, df in tabs.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+@query("q4_null_check")
+def q4_null_check(spark, sf_dir):
+    return quality_report(spark, sf_dir).filter("check = 'null_check'")
+
+
+@query("q5_unique_check")
+def q5_unique_check(spark, sf_dir):
+    return quality_report(spark, sf_dir).filter("check = 'unique_check'")
+
+
+@query("q6_row_count")
+def q6_row_count(spark, sf_dir):
+    return quality_report(spark, sf_dir).filter("check = 'row_count'")
+
+
+@query("q7_foreign_key")
+def q7_foreign_key(spark, sf_dir):
+    return Q.foreign_key(B.trips(spark, sf_dir), B.routes(spark, sf_dir), "route_id", "route_id",
+                         "trips", "routes")
+
+
+@query("q7_foreign_key_unused_routes")
+def q7_foreign_key_unused_routes(spark, sf_dir):
+    """Routes that no trip uses (a link checked the other way round)."""
+    return Q.foreign_key(B.routes(spark, sf_dir), B.trips(spark, sf_dir), "route_id", "route_id",
+                         "routes", "trips")
+
+
+@query("j1_anti_join")
+def j1_anti_join(spark, sf_dir):
+    return Q.missing_keys(B.routes(spark, sf_dir), B.trips(spark, sf_dir), "route_id", "route_id")
+
+
+@query("q8_referential_integrity")
+def q8_referential_integrity(spark, sf_dir):
+    return Q.integrity(bound_tables(spark, sf_dir), SC.CODED_LINKS)
+
+
+@query("r5_all_links")
+def r5_all_links(spark, sf_dir):
+    return Q.integrity(bound_tables(spark, sf_dir), SC.ALL_LINKS)
+
+
+@query("a1_count")
+def a1_count(spark, sf_dir):
+    return facts(spark, sf_dir).agg(F.count(F.lit(1)).alias("n_rows"),
+                                    F.count_if(F.col("delay_seconds") > 0).alias("n_late"))
+
+
+@query("a2_distinct")
+def a2_distinct(spark, sf_dir):
+    return B.stop_times_raw(spark, sf_dir).select("trip_id", "stop_sequence").distinct()
+
+
+@query("a3_excess_rows")
+def a3_excess_rows(spark, sf_dir):
+    g = B.stop_times_raw(spark, sf_dir).groupBy("trip_id", "stop_sequence").agg(F.count(F.lit(1)).alias("n"))
+    return g.agg(F.sum("n").alias("total_rows"), F.count(F.lit(1)).alias("distinct_keys"),
+                 (F.sum("n") - F.count(F.lit(1))).alias("excess_rows"))
+
+
+@query("p2_null_or_empty")
+def p2_null_or_empty(spark, sf_dir):
+    t = B.trips(spark, sf_dir)
+    return t.agg(*[F.count_if(Q.null_or_empty(t, c)).alias(f"empty_{c}")
+                   for c in ("route_id", "service_id", "trip_id", "trip_headsign", "direction_id")])
+
+
+def trips_csv_fixture(spark, sf_dir) -> str:
+    """Write the bound trips table as a headed CSV under the shared folder:
+    columns in another order than declared, the required ``shape_id``
+    missing, a surplus ``fare`` column and text in the integer column
+    ``wheelchair_accessible``. Returns the file folder."""
+    o = B.table(spark, sf_dir, "orders")
+    path = work_path(spark, "fixtures", "trips", unique=True)
+    o.select(F.col("o_orderkey").alias("trip_id"), F.col("o_custkey").alias("route_id"),
+             F.col("o_orderpriority").alias("service_id"), F.col("o_orderstatus").alias("trip_headsign"),
+             (F.col("o_orderkey") % 2).alias("direction_id"),
+             F.col("o_orderstatus").alias("wheelchair_accessible"),
+             F.col("o_totalprice").alias("fare")) \
+        .write.option("header", True).csv(path)
+    return path
+
+
+@query("s1_csv_scan")
+def s1_csv_scan(spark, sf_dir):
+    path = trips_csv_fixture(spark, sf_dir)
+    return load_csv(spark, path, SC.STATIC_SCHEMAS["trips"], "trips").typed
+
+
+def _csv_report(spark, sf_dir) -> DataFrame:
+    path = trips_csv_fixture(spark, sf_dir)
+    t = load_csv(spark, path, SC.STATIC_SCHEMAS["trips"], "trips")
+    return Q.header_checks(spark, "trips", t.header, t.schema, SC.REQUIRED_COLUMNS["trips"]) \
+        .unionByName(Q.table_checks(t.raw, "trips", SC.PRIMARY_KEYS["trips"], t.schema))
+
+
+@query("q1_required_columns")
+def q1_required_columns(spark, sf_dir):
+    return _csv_report(spark, sf_dir).filter("check = 'required_columns'")
+
+
+@query("q2_extra_columns")
+def q2_extra_columns(spark, sf_dir):
+    return _csv_report(spark, sf_dir).filter("check = 'extra_columns'")
+
+
+@query("q3_type_match")
+def q3_type_match(spark, sf_dir):
+    return _csv_report(spark, sf_dir).filter("check = 'type_match'")
+
+
+def timetable_csv_folder(spark, sf_dir) -> str:
+    """All five bound tables as headed CSV files ``<name>.txt`` (a folder
+    each), ids as text, as a timetable export would hold them."""
+    root = work_path(spark, "fixtures", "timetable", unique=True)
+    for name, df in bound_tables(spark, sf_dir).items():
+        df.select(*[F.col(c).cast("string").alias(c) for c in df.columns]) \
+          .write.option("header", True).csv(f"{root}/{name}.txt")
+    return root
+
+
+@query("c1_load_static")
+def c1_load_static(spark, sf_dir):
+    """Load the five tables from CSV with every check; the report (the
+    timetable export has duplicate stop_times keys, so the job would stop
+    before publishing; here the report is returned instead)."""
+    return load_static(spark, timetable_csv_folder(spark, sf_dir), enforce=False).report

