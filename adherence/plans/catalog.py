@@ -294,3 +294,127 @@ def c1_load_static(spark, sf_dir):
     timetable export has duplicate stop_times keys, so the job would stop
     before publishing; here the report is returned instead)."""
     return load_static(spark, timetable_csv_folder(spark, sf_dir), enforce=False).report
+
+
+# ---------------------------------------------------------------- feed
+from adherence.operators.delays import choose_actual_time  # noqa: E402
+from adherence.streaming import bindings as FB  # noqa: E402
+from adherence.streaming import feed as FD  # noqa: E402
+from adherence.streaming import flatten as FL  # noqa: E402
+
+
+def decoded_entities(spark, sf_dir) -> DataFrame:
+    good, _ = FD.split_rejects(FD.decode(FB.feeds(spark, sf_dir), keep=["feed_key"]))
+    return good
+
+
+@query("s9_feed_publish")
+def s9_feed_publish(spark, sf_dir):
+    return FB.feeds(spark, sf_dir).select("feed_key", "feed_ts", "n_entities", "n_stops")
+
+
+@query("t5_decode_feed")
+def t5_decode_feed(spark, sf_dir):
+    return FL.stop_updates(decoded_entities(spark, sf_dir), keep=["feed_key"]).select(
+        "feed_key", "feed_ts", "entity_pos", "entity_id", "trip_id", "route_id", "start_date", "trip_delay",
+        "stop_pos", "stop_id", "stop_sequence", "arrival_epoch", "departure_epoch")
+
+
+@query("p3_struct_project")
+def p3_struct_project(spark, sf_dir):
+    e = decoded_entities(spark, sf_dir)
+    return e.select("feed_key", F.col("entity.trip_update.trip.trip_id").alias("trip_id"),
+                    F.col("entity.trip_update.trip.route_id").alias("route_id"),
+                    F.col("entity.trip_update.delay").alias("delay"))
+
+
+@query("p4_present_filter")
+def p4_present_filter(spark, sf_dir):
+    return FL.trip_entities(decoded_entities(spark, sf_dir)).select("feed_key", F.col("entity.id").alias("entity_id"))
+
+
+@query("p5_explode_entities")
+def p5_explode_entities(spark, sf_dir):
+    feeds = FD.decode(FB.feeds(spark, sf_dir), keep=["feed_key"], level="feed")
+    ent = FL.explode_entities(feeds.filter("decode_error IS NULL"))
+    return ent.select("feed_key", "entity_pos", F.col("entity.id").alias("entity_id"),
+                      F.size("entity.trip_update.stop_time_update").alias("n_stops"))
+
+
+@query("p6_explode_stops")
+def p6_explode_stops(spark, sf_dir):
+    return FL.stop_updates(decoded_entities(spark, sf_dir), keep=["feed_key"]).select(
+        "feed_key", "entity_pos", "stop_pos", "trip_id", "stop_id", "stop_sequence")
+
+
+@query("p7_time_choice")
+def p7_time_choice(spark, sf_dir):
+    s = FL.stop_updates(decoded_entities(spark, sf_dir), keep=["feed_key"])
+    return choose_actual_time(s).select("feed_key", "trip_id", "stop_id", "stop_sequence", "stop_pos",
+                                        "actual_epoch", "time_source")
+
+
+@query("p8_proto_defaults")
+def p8_proto_defaults(spark, sf_dir):
+    return FL.stop_updates(decoded_entities(spark, sf_dir), keep=["feed_key"], defaults=True).select(
+        "feed_key", "stop_pos", "trip_id", "stop_id", "stop_sequence")
+
+
+@query("p9_first_trip")
+def p9_first_trip(spark, sf_dir):
+    feeds = FD.decode(FB.feeds(spark, sf_dir), keep=["feed_key"], level="feed")
+    return FL.first_trip(feeds)
+
+
+@query("c3_trip_level_delay")
+def c3_trip_level_delay(spark, sf_dir):
+    return p9_first_trip(spark, sf_dir)
+
+
+@query("p10_delay_default")
+def p10_delay_default(spark, sf_dir):
+    e = FL.trip_entities(decoded_entities(spark, sf_dir))
+    return e.select("feed_key", F.col("entity.id").alias("entity_id"),
+                    FL.delay_default(F.col("entity.trip_update.delay")).alias("delay"))
+
+
+@query("u1_scalar_udf")
+def u1_scalar_udf(spark, sf_dir):
+    f = FB.feeds(spark, sf_dir)
+    return f.select("feed_key", FL.first_trip_udf()("value").alias("p")).select("feed_key", "p.*")
+
+
+@query("u2_udf_register")
+def u2_udf_register(spark, sf_dir):
+    name = FL.register_udfs(spark)
+    f = FB.feeds(spark, sf_dir)
+    return f.select("feed_key", F.call_function(name, F.col("value")).alias("p")).select("feed_key", "p.*")
+
+
+def trip_update_records(spark, sf_dir) -> DataFrame:
+    """Bare trip-update records, split from the feeds (the second topic's
+    record format)."""
+    return FD.split_trip_updates(FB.feeds(spark, sf_dir), keep=["feed_key"])
+
+
+@query("t6_decode_trip_update")
+def t6_decode_trip_update(spark, sf_dir):
+    d = FD.decode(trip_update_records(spark, sf_dir), root="TripUpdate", keep=["feed_key"])
+    return d.select("feed_key", *FL.trip_update_rows(d, with_time=False).columns) if False else \
+        d.filter("decode_error IS NULL").select(
+            "feed_key", F.col("message.trip.trip_id").alias("trip_id"),
+            F.col("message.trip.start_date").alias("start_date"),
+            F.col("message.trip.route_id").alias("route_id"),
+            F.size("message.stop_time_update").alias("n_stops"))
+
+
+@query("p11_trip_update_map")
+def p11_trip_update_map(spark, sf_dir):
+    d = FD.decode(trip_update_records(spark, sf_dir), root="TripUpdate", keep=["feed_key"])
+    return FL.trip_update_rows(d, with_time=False)
+
+
+@query("c4_trip_update_log")
+def c4_trip_update_log(spark, sf_dir):
+    d = FD.decode(trip_update_records(spark, sf_dir), root="TripUpdate", keep=["feed_key"])
+    return FL.trip_update_rows(d, with_time=True)

@@ -221,3 +221,58 @@ SELECT 'trips' AS "table", 'type_match' AS "check", c AS "column", v AS violatio
   SELECT 'direction_id' AS c, count_if(TRY_CAST(CAST(o_orderkey % 2 AS VARCHAR) AS INTEGER) IS NULL) AS v FROM orders
   UNION ALL
   SELECT 'wheelchair_accessible', count_if(TRY_CAST(o_orderstatus AS INTEGER) IS NULL) FROM orders)"""
+
+# ---------------------------------------------------------------- feed
+_FEED = """
+WITH fr AS (
+  SELECT strftime(l.l_shipdate, '%Y%m%d') || '/' || CAST(l.l_orderkey // 64 AS VARCHAR) AS feed_key,
+         CAST(epoch(date_trunc('day', l.l_shipdate)) AS BIGINT) AS feed_ts,
+         l.l_orderkey AS tk, CAST(l.l_orderkey AS VARCHAR) AS trip_id, CAST(o.o_custkey AS VARCHAR) AS route_id,
+         strftime(o.o_orderdate, '%Y%m%d') AS start_date,
+         CASE WHEN o.o_orderstatus = 'F' THEN CAST(CAST(trunc(o.o_totalprice) AS BIGINT) % 600 - 300 AS INTEGER) END
+           AS trip_delay,
+         l.l_suppkey AS sk, CAST(l.l_suppkey AS VARCHAR) AS stop_id, CAST(l.l_linenumber AS BIGINT) AS stop_sequence,
+         CASE WHEN l.l_returnflag <> 'A' THEN CAST(epoch(l.l_shipdate) AS BIGINT) + (l.l_partkey * 37) % 86400 END
+           AS arrival_epoch,
+         CASE WHEN NOT (l.l_returnflag = 'A' AND l.l_linestatus = 'O')
+              THEN CAST(epoch(l.l_shipdate) AS BIGINT) + (l.l_partkey * 37) % 86400 + 30 END AS departure_epoch
+  FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey),
+fs AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY feed_key ORDER BY tk) - 1 AS INTEGER) AS entity_pos,
+         CAST(row_number() OVER (PARTITION BY feed_key, tk ORDER BY stop_sequence, sk, arrival_epoch NULLS FIRST,
+                                 departure_epoch NULLS FIRST) - 1 AS INTEGER) AS stop_pos,
+         trip_id AS entity_id
+  FROM fr),
+ent AS (
+  SELECT feed_key, any_value(feed_ts) AS feed_ts, entity_pos, any_value(entity_id) AS entity_id,
+         any_value(trip_id) AS trip_id, any_value(route_id) AS route_id, any_value(start_date) AS start_date,
+         any_value(trip_delay) AS trip_delay, min(tk) AS tk, CAST(count(*) AS INTEGER) AS n_stops
+  FROM fs GROUP BY feed_key, entity_pos),
+first_trip AS (
+  SELECT feed_key, arg_min(struct_pack(trip_id := trip_id, route_id := route_id, delay := coalesce(trip_delay, 0)), tk)
+           AS f
+  FROM ent GROUP BY feed_key)
+"""
+SQL["s9_feed_publish"] = _FEED + """
+SELECT feed_key, any_value(feed_ts) AS feed_ts, CAST(count(DISTINCT tk) AS INTEGER) AS n_entities,
+       CAST(count(*) AS INTEGER) AS n_stops FROM fr GROUP BY feed_key"""
+SQL["t5_decode_feed"] = _FEED + """
+SELECT feed_key, feed_ts, entity_pos, entity_id, trip_id, route_id, start_date, trip_delay, stop_pos, stop_id,
+       stop_sequence, arrival_epoch, departure_epoch FROM fs"""
+SQL["p3_struct_project"] = _FEED + "SELECT feed_key, trip_id, route_id, trip_delay AS delay FROM ent"
+SQL["p4_present_filter"] = _FEED + "SELECT feed_key, entity_id FROM ent"
+SQL["p5_explode_entities"] = _FEED + "SELECT feed_key, entity_pos, entity_id, n_stops FROM ent"
+SQL["p6_explode_stops"] = _FEED + "SELECT feed_key, entity_pos, stop_pos, trip_id, stop_id, stop_sequence FROM fs"
+SQL["p7_time_choice"] = _FEED + """
+SELECT feed_key, trip_id, stop_id, stop_sequence, stop_pos, coalesce(arrival_epoch, departure_epoch) AS actual_epoch,
+       CASE WHEN arrival_epoch IS NOT NULL THEN 'arrival' ELSE 'departure' END AS time_source
+FROM fs WHERE coalesce(arrival_epoch, departure_epoch) IS NOT NULL"""
+SQL["p8_proto_defaults"] = _FEED + "SELECT feed_key, stop_pos, trip_id, stop_id, stop_sequence FROM fs"
+_FIRST = _FEED + "SELECT feed_key, f.trip_id AS trip_id, f.route_id AS route_id, f.delay AS delay FROM first_trip"
+SQL["p9_first_trip"] = _FIRST
+SQL["c3_trip_level_delay"] = _FIRST
+SQL["u1_scalar_udf"] = _FIRST
+SQL["u2_udf_register"] = _FIRST
+SQL["p10_delay_default"] = _FEED + "SELECT feed_key, entity_id, coalesce(trip_delay, 0) AS delay FROM ent"
+SQL["t6_decode_trip_update"] = _FEED + "SELECT feed_key, trip_id, start_date, route_id, n_stops FROM ent"
+SQL["p11_trip_update_map"] = _FEED + "SELECT trip_id, start_date, route_id FROM ent"
