@@ -44,7 +44,7 @@ def trip_delays(updates: DataFrame, stop_times: DataFrame, keys: Sequence[str] =
                 order: str | Sequence[str] = "arrival_order", tz: str = DEFAULT_TZ,
                 day_rule: str = "reference", arrival: str = "arrival_epoch",
                 departure: str = "departure_epoch", time_col: str = "arrival_time",
-                with_rejects: bool = False):
+                with_rejects: bool = False, keep_order: bool = False):
     """The fact table ``trip_delays``: latest delay per key.
 
     Plan: drop updates without a time, reduce to the latest update per key
@@ -54,12 +54,16 @@ def trip_delays(updates: DataFrame, stop_times: DataFrame, keys: Sequence[str] =
     has a parseable clock depends only on its key, so reducing before the
     join gives the same rows as the reference's per-update loop, where a
     failing update never replaces an older good one.
-    Returns the accepted frame, or (accepted, rejected) with ``with_rejects``."""
+    Returns the accepted frame, or (accepted, rejected) with ``with_rejects``.
+    ``keep_order`` (``order`` a column name) keeps the winning order value,
+    for merging with later batches."""
     timed = choose_actual_time(updates, arrival, departure)
-    latest = latest_per_key(timed, keys, ["actual_epoch", "time_source"], order)
+    vals = ["actual_epoch", "time_source"] + ([order] if keep_order else [])
+    latest = latest_per_key(timed, keys, vals, order)
     joined = schedule_lookup(latest, stop_times, keys, time_col)
     scored = add_delay(joined, time_col, "actual_epoch", tz, day_rule)
-    cols = [*keys, "scheduled_epoch", "actual_epoch", "delay_seconds", "time_source"]
+    cols = [*keys, "scheduled_epoch", "actual_epoch", "delay_seconds", "time_source"] + \
+        ([order] if keep_order else [])
     good = scored.filter(F.col("reject_reason").isNull()).select(*cols)
     if not with_rejects:
         return good

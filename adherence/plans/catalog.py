@@ -418,3 +418,32 @@ def p11_trip_update_map(spark, sf_dir):
 def c4_trip_update_log(spark, sf_dir):
     d = FD.decode(trip_update_records(spark, sf_dir), root="TripUpdate", keep=["feed_key"])
     return FL.trip_update_rows(d, with_time=True)
+
+
+# ---------------------------------------------------------------- streaming
+from adherence.sources.stream import file_stream, land_records  # noqa: E402
+from adherence.streaming import jobs as J  # noqa: E402
+from adherence.streaming.sink import FactTable  # noqa: E402
+
+
+def landed_feeds(spark, sf_dir, files: int = 4) -> str:
+    folder = work_path(spark, "landing", "feeds", unique=True)
+    land_records(FB.feeds(spark, sf_dir), folder, "trip-updates", files=files, ts_col="feed_ts")
+    return folder
+
+
+@query("c2_trip_delays_stream")
+def c2_trip_delays_stream(spark, sf_dir):
+    """C2 end to end as a stream: landed feed records -> file stream (S6) ->
+    foreachBatch (decode, flatten, lookup, delay) -> keyed upsert (S11)."""
+    folder = landed_feeds(spark, sf_dir)
+    st = B.stop_times_raw(spark, sf_dir)
+    ups_schema = J.updates_from_records(spark.read.parquet(folder).limit(0),
+                                        {"trip_id": "bigint", "stop_id": "bigint", "stop_sequence": "int"})[0]
+    order_type = ups_schema.schema["arrival_order"].dataType
+    table = FactTable(spark, work_path(spark, "tables", "trip_delays", unique=True),
+                      J.fact_schema(st, B.KEYS, order_type), B.KEYS, n_buckets=16)
+    q = J.run_delay_stream(spark, file_stream(spark, folder, max_files_per_trigger=2), st, table,
+                           work_path(spark, "streams", "c2", unique=True), trigger={"availableNow": True})
+    q.awaitTermination()
+    return table.read()

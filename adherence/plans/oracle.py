@@ -276,3 +276,15 @@ SQL["u2_udf_register"] = _FIRST
 SQL["p10_delay_default"] = _FEED + "SELECT feed_key, entity_id, coalesce(trip_delay, 0) AS delay FROM ent"
 SQL["t6_decode_trip_update"] = _FEED + "SELECT feed_key, trip_id, start_date, route_id, n_stops FROM ent"
 SQL["p11_trip_update_map"] = _FEED + "SELECT trip_id, start_date, route_id FROM ent"
+
+# Stream order: feed time, then the position inside the feed; for one key
+# that is (ship day, arrival NULLS FIRST, departure NULLS FIRST).
+SQL["c2_trip_delays_stream"] = with_bind("SELECT * FROM trip_delays").replace(
+    """row(l_shipdate, l_partkey, l_quantity, l_extendedprice, l_discount, l_tax,
+             l_returnflag, l_linestatus) AS ord""",
+    """row(date_trunc('day', l_shipdate),
+             CASE WHEN l_returnflag <> 'A' THEN 1 ELSE 0 END,
+             CASE WHEN l_returnflag <> 'A' THEN CAST(epoch(l_shipdate) AS BIGINT) + (l_partkey * 37) % 86400 ELSE 0 END,
+             CASE WHEN NOT (l_returnflag = 'A' AND l_linestatus = 'O') THEN 1 ELSE 0 END,
+             CASE WHEN NOT (l_returnflag = 'A' AND l_linestatus = 'O')
+                  THEN CAST(epoch(l_shipdate) AS BIGINT) + (l_partkey * 37) % 86400 + 30 ELSE 0 END) AS ord""")
