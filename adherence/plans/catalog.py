@@ -447,3 +447,67 @@ def c2_trip_delays_stream(spark, sf_dir):
                            work_path(spark, "streams", "c2", unique=True), trigger={"availableNow": True})
     q.awaitTermination()
     return table.read()
+
+
+# ---------------------------------------------------------------- analytics
+from adherence.operators import analytics as AN  # noqa: E402
+from adherence.operators.latest import apply_differential, latest_per_key  # noqa: E402
+
+
+@query("r1_delay_hotspots")
+def r1_delay_hotspots(spark, sf_dir):
+    return AN.hotspots(S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir)))
+
+
+def history(spark, sf_dir) -> DataFrame:
+    t = B.trips(spark, sf_dir).select("trip_id", "route_id")
+    return AN.delay_history(B.stop_updates(spark, sf_dir, with_order=False), B.stop_times_raw(spark, sf_dir)) \
+        .join(t, "trip_id")
+
+
+@query("r2_delay_now")
+def r2_delay_now(spark, sf_dir):
+    return AN.delay_windows(history(spark, sf_dir), ["route_id"], "1 day")
+
+
+@query("k1_delay_propagation")
+def k1_delay_propagation(spark, sf_dir):
+    return AN.propagate_delays(B.stop_times(spark, sf_dir), facts(spark, sf_dir))
+
+
+@query("k2_trip_delay_fallback")
+def k2_trip_delay_fallback(spark, sf_dir):
+    o = B.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("trip_id"),
+        F.when(F.col("o_orderstatus") == "F", (F.col("o_totalprice").cast("bigint") % 600 - 300).cast("int"))
+         .alias("trip_delay"))
+    return AN.propagate_delays(B.stop_times(spark, sf_dir), facts(spark, sf_dir), trip_delay=o)
+
+
+@query("k5_start_date_day")
+def k5_start_date_day(spark, sf_dir):
+    """C2 with the service day taken from the trip's start date (order date)."""
+    from adherence.operators.delays import add_delay as _add
+    o = B.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("trip_id"),
+                                                F.date_format("o_orderdate", "yyyyMMdd").alias("start_date"))
+    st = B.stop_times(spark, sf_dir)
+    f = facts(spark, sf_dir).select("trip_id", "stop_id", "stop_sequence", "actual_epoch")
+    j = f.join(st, list(B.KEYS)).join(o, "trip_id")
+    d = _add(j, day_rule="start_date", start_date_col="start_date").filter("reject_reason IS NULL")
+    return d.select(*B.KEYS, "start_date", "scheduled_epoch", "actual_epoch", "delay_seconds")
+
+
+@query("k6_differential")
+def k6_differential(spark, sf_dir):
+    e = decoded_entities(spark, sf_dir).select(
+        F.col("entity.id").alias("entity_id"), "feed_key", F.col("entity.is_deleted").alias("is_deleted"),
+        F.size("entity.trip_update.stop_time_update").alias("n_stops"),
+        F.struct(F.col("header.timestamp"), F.col("entity_pos")).alias("arrival_order"))
+    return apply_differential(e, values=["feed_key", "n_stops"], order="arrival_order").drop("is_deleted")
+
+
+@query("t1_latest_per_key")
+def t1_latest_per_key(spark, sf_dir):
+    """Latest event per user (last write wins on the event stream table)."""
+    ev = B.events(spark, sf_dir)
+    return latest_per_key(ev, ["user_id"], ["event_id", "event_type", "value", "props"], ["ts", "event_id"])

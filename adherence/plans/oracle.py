@@ -288,3 +288,79 @@ SQL["c2_trip_delays_stream"] = with_bind("SELECT * FROM trip_delays").replace(
              CASE WHEN NOT (l_returnflag = 'A' AND l_linestatus = 'O') THEN 1 ELSE 0 END,
              CASE WHEN NOT (l_returnflag = 'A' AND l_linestatus = 'O')
                   THEN CAST(epoch(l_shipdate) AS BIGINT) + (l_partkey * 37) % 86400 + 30 ELSE 0 END) AS ord""")
+
+# ---------------------------------------------------------------- analytics
+SQL["r1_delay_hotspots"] = with_bind(f"""
+, e AS (
+  SELECT td.*, dt.route_id,
+         hour(timezone('{TZ}', to_timestamp(scheduled_epoch))) AS hour,
+         dayofweek(CAST(timezone('{TZ}', to_timestamp(scheduled_epoch)) AS DATE)) + 1 AS weekday
+  FROM trip_delays td JOIN trips dt ON td.trip_id = dt.trip_id LEFT JOIN routes dr ON dt.route_id = dr.route_id)
+SELECT route_id, stop_id, CAST(hour AS INTEGER) AS hour, CAST(weekday AS INTEGER) AS weekday,
+       CAST(GROUPING(route_id, stop_id, hour, weekday) AS INTEGER) AS level,
+       count(*) AS n, round(avg(delay_seconds), 3) AS avg_delay, count_if(delay_seconds > 0) AS n_late,
+       round(count_if(delay_seconds > 0) / count(*), 4) AS late_share, max(delay_seconds) AS max_delay
+FROM e GROUP BY GROUPING SETS ((route_id), (stop_id), (hour), (weekday), (route_id, hour), ())""")
+SQL["r2_delay_now"] = with_bind(f"""
+, hist AS (
+  SELECT s.trip_id, s.actual_epoch, t.route_id,
+         CAST(s.actual_epoch - CAST(epoch(timezone('{TZ}',
+              CAST(CAST(timezone('{TZ}', to_timestamp(s.actual_epoch)) AS DATE)
+                   - CAST(CASE WHEN s.h >= 24 THEN 1 ELSE 0 END AS INTEGER) AS TIMESTAMP)
+              + to_seconds(CAST(s.h AS BIGINT) * 3600 + s.m * 60 + s.s))) AS BIGINT) AS INTEGER) AS delay_seconds
+  FROM (SELECT u.*, st.arrival_time,
+               CAST(split_part(st.arrival_time, ':', 1) AS INTEGER) AS h,
+               CAST(split_part(st.arrival_time, ':', 2) AS INTEGER) AS m,
+               CAST(split_part(st.arrival_time, ':', 3) AS INTEGER) AS s
+        FROM timed u JOIN stop_times st USING (trip_id, stop_id, stop_sequence)) s
+  JOIN trips t ON s.trip_id = t.trip_id),
+agg AS (
+  SELECT route_id, (actual_epoch // 86400) * 86400 AS window_start, count(*) AS n, avg(delay_seconds) AS a
+  FROM hist GROUP BY route_id, (actual_epoch // 86400) * 86400)
+SELECT route_id, window_start, n, round(a, 3) AS avg_delay,
+       round(a - lag(a) OVER (PARTITION BY route_id ORDER BY window_start), 3) AS change
+FROM agg""")
+_K1 = """
+, j AS (
+  SELECT st.trip_id, st.stop_id, st.stop_sequence, td.delay_seconds AS own_delay
+  FROM stop_times st LEFT JOIN trip_delays td USING (trip_id, stop_id, stop_sequence)),
+p AS (
+  SELECT *, last(own_delay IGNORE NULLS) OVER (PARTITION BY trip_id ORDER BY stop_sequence, stop_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pd,
+         max(CASE WHEN own_delay IS NOT NULL THEN 1 ELSE 0 END) OVER (PARTITION BY trip_id ORDER BY stop_sequence, stop_id
+            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seen
+  FROM j)
+"""
+SQL["k1_delay_propagation"] = with_bind(_K1 + """
+SELECT trip_id, stop_id, stop_sequence, own_delay, pd AS predicted_delay,
+       CASE WHEN own_delay IS NOT NULL THEN 'own' WHEN pd IS NOT NULL THEN 'propagated' END AS delay_source FROM p""")
+SQL["k2_trip_delay_fallback"] = with_bind(_K1 + """
+, o AS (SELECT o_orderkey AS trip_id, CASE WHEN o_orderstatus = 'F'
+               THEN CAST(CAST(trunc(o_totalprice) AS BIGINT) % 600 - 300 AS INTEGER) END AS trip_delay FROM orders)
+SELECT p.trip_id, stop_id, stop_sequence, own_delay,
+       CASE WHEN pd IS NULL AND seen = 0 AND o.trip_delay IS NOT NULL THEN o.trip_delay ELSE pd END AS predicted_delay,
+       CASE WHEN pd IS NULL AND seen = 0 AND o.trip_delay IS NOT NULL THEN 'trip'
+            WHEN own_delay IS NOT NULL THEN 'own' WHEN pd IS NOT NULL THEN 'propagated' END AS delay_source
+FROM p LEFT JOIN o ON p.trip_id = o.trip_id""")
+SQL["k5_start_date_day"] = with_bind(f"""
+, k AS (
+  SELECT td.trip_id, td.stop_id, td.stop_sequence, strftime(o.o_orderdate, '%Y%m%d') AS start_date, td.actual_epoch,
+         CAST(split_part(st.arrival_time, ':', 1) AS INTEGER) AS h,
+         CAST(split_part(st.arrival_time, ':', 2) AS INTEGER) AS m,
+         CAST(split_part(st.arrival_time, ':', 3) AS INTEGER) AS s
+  FROM trip_delays td JOIN stop_times st USING (trip_id, stop_id, stop_sequence)
+  JOIN orders o ON o.o_orderkey = td.trip_id),
+k2 AS (
+  SELECT *, CAST(epoch(timezone('{TZ}', CAST(CAST(strptime(start_date, '%Y%m%d') AS DATE) AS TIMESTAMP)
+              + to_seconds(CAST(h AS BIGINT) * 3600 + m * 60 + s))) AS BIGINT) AS scheduled_epoch FROM k)
+SELECT trip_id, stop_id, stop_sequence, start_date, scheduled_epoch, actual_epoch,
+       CAST(actual_epoch - scheduled_epoch AS INTEGER) AS delay_seconds FROM k2""")
+SQL["k6_differential"] = _FEED + """
+SELECT entity_id, f.feed_key AS feed_key, f.n_stops AS n_stops FROM (
+  SELECT entity_id, max_by(struct_pack(feed_key := feed_key, n_stops := n_stops), row(feed_ts, entity_pos)) AS f
+  FROM ent GROUP BY entity_id)"""
+SQL["t1_latest_per_key"] = """
+SELECT user_id, v.event_id AS event_id, v.event_type AS event_type, v.value AS value, v.props AS props FROM (
+  SELECT user_id, max_by(struct_pack(event_id := event_id, event_type := event_type, value := value, props := props),
+                         row(ts, event_id)) AS v
+  FROM events GROUP BY user_id)"""
