@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 
+# Fixed value: marker the CSV parser returns for an unquoted empty field.
+NULL_MARKER = "\u0000"
+
+
 class MissingSourceError(FileNotFoundError):
     """A needed file is absent."""
 
@@ -41,6 +45,9 @@ def read_raw(spark: SparkSession, path: str, name: str | None = None) -> DataFra
     try:
         return (spark.read.option("header", True).option("inferSchema", False)
                 .option("mode", "PERMISSIVE").option("emptyValue", "")
+                # an unquoted empty field gives the parser's null marker -> NULL;
+                # a quoted empty field ("") stays the empty string
+                .option("nullValue", NULL_MARKER)
                 .csv(path))
     except Exception as ex:  # noqa: BLE001
         if "PATH_NOT_FOUND" in str(ex) or "Path does not exist" in str(ex):
