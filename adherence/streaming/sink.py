@@ -38,11 +38,15 @@ class FactTable:
         if not fs.exists(p):
             fs.mkdirs(p)
 
-    def read(self, with_order: bool = False) -> DataFrame:
-        """Current rows (without the bucket and, by default, the order)."""
+    def _read_bucketed(self) -> DataFrame:
+        """All columns plus the ``bucket`` partition column."""
         self.ensure()
         full = StructType(list(self.schema.fields)).add("bucket", IntegerType())
-        df = self.spark.read.schema(full).parquet(self.path)
+        return self.spark.read.schema(full).parquet(self.path)
+
+    def read(self, with_order: bool = False) -> DataFrame:
+        """Current rows (without the bucket and, by default, the order)."""
+        df = self._read_bucketed()
         drop = ["bucket"] + ([] if with_order else [self.order_col])
         return df.drop(*[c for c in drop if c in df.columns])
 
@@ -71,8 +75,14 @@ class FactTable:
             return False
         values = [f.name for f in self.schema.fields if f.name not in self.keys]
         new = self.bucket_of(changes.select(*[f.name for f in self.schema.fields]))
-        touched = new.select("bucket").distinct()          # at most n_buckets rows
-        old = self.bucket_of(self.read(with_order=True)).join(F.broadcast(touched), "bucket", "left_semi")
+        # The touched bucket ids: at most n_buckets small integers, a proven
+        # bound, so they come to the driver and become a static partition
+        # filter: only touched buckets are listed and read.
+        touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
+        if not touched:
+            self._commit(batch_id)
+            return True
+        old = self._read_bucketed().filter(F.col("bucket").isin(touched))
         merged = latest_per_key(old.unionByName(new), self.keys, values, self.order_col)
         merged = self.bucket_of(merged).repartition("bucket").checkpoint(eager=True)
         (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
