@@ -364,3 +364,39 @@ SELECT user_id, v.event_id AS event_id, v.event_type AS event_type, v.value AS v
   SELECT user_id, max_by(struct_pack(event_id := event_id, event_type := event_type, value := value, props := props),
                          row(ts, event_id)) AS v
   FROM events GROUP BY user_id)"""
+
+# C1 over the CSV export of the bound tables: every column is text there, so
+# samples order keys as text; declared non-text columns get a type check.
+_C1_TYPED = {"routes": ["route_type"], "trips": ["direction_id"], "stop_times": ["stop_sequence"]}
+_C1_MISSING = {"trips": ["shape_id"], "stops": ["stop_lat", "stop_lon"]}
+
+
+def _c1_table(name):
+    keys, nn, _ = _QT[name]
+    src = f"t_{name}"
+    parts = [f"SELECT '{name}' AS \"table\", 'row_count' AS \"check\", NULL::VARCHAR AS \"column\", "
+             f"count(*) AS violations, {_NS} AS sample FROM {src}"]
+    for c in nn:
+        parts.append(f"SELECT '{name}', 'null_check', '{c}', count_if({c} IS NULL OR CAST({c} AS VARCHAR) = ''), "
+                     f"{_NS} FROM {src}")
+    for c in _C1_TYPED.get(name, []):
+        parts.append(f"SELECT '{name}', 'type_match', '{c}', "
+                     f"count_if(TRY_CAST(trim(CAST({c} AS VARCHAR)) AS INTEGER) IS NULL), {_NS} FROM {src}")
+    for c in _C1_MISSING.get(name, []):
+        parts.append(f"SELECT '{name}', 'required_columns', '{c}', CAST(1 AS BIGINT), {_EMPTY}")
+    sample = (f"(SELECT coalesce(list_sort(list(concat_ws('|', " +
+              ", ".join(f"coalesce(k{i}, 'NULL')" for i in range(len(keys))) +
+              f"))), {_EMPTY}) FROM (SELECT * FROM (SELECT {', '.join(f'CAST({k} AS VARCHAR) AS k{i}' for i, k in enumerate(keys))} "
+              f"FROM {src} GROUP BY {', '.join(keys)} HAVING count(*) > 1) ORDER BY "
+              f"{', '.join(f'k{i}' for i in range(len(keys)))} LIMIT 5))")
+    parts.append(f"SELECT '{name}', 'unique_check', '{','.join(keys)}', "
+                 f"(SELECT count(*) FROM {src}) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {src})), "
+                 f"{sample}")
+    return "\nUNION ALL\n".join(parts)
+
+
+SQL["c1_load_static"] = with_bind_q(
+    ", t_routes AS (SELECT * FROM routes), t_trips AS (SELECT * FROM trips), t_stops AS (SELECT * FROM stops), "
+    "t_calendar AS (SELECT * FROM calendar), t_stop_times AS (SELECT * FROM stop_times)\n"
+    + "\nUNION ALL\n".join(_c1_table(n) for n in _QT) + "\nUNION ALL\n"
+    + _fk("trips", "route_id", "routes", "route_id"))
