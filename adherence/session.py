@@ -32,6 +32,7 @@ def build_session(master: str = "local[*]", app: str = "adherence",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
@@ -67,3 +68,23 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in the Python workers (as ``--py-files``
+    does): zip it once per SparkContext and ``addPyFile`` it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_adherence_shipped", False):
+        return
+    import zipfile
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    out = os.path.join(tempfile.mkdtemp(prefix="adherence-pyfiles-"), "adherence.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for dirpath, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    zf.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    sc._adherence_shipped = True
