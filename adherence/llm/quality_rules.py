@@ -50,8 +50,8 @@ def repeated_words(words: Column) -> Column:
     """Words inside ``WINDOW``-word windows that occur twice or more in the
     text (first occurrence included). Windows are compared by XXH64, built by
     joining hashes of 2, 4 and 8 words. A text without a repeated 4-word
-    window has no longer one and is done; only the others are sorted, and the
-    covered words are counted from the gaps between repeated window
+    window has no longer one and is done; only texts with a repeated window
+    are sorted, and the covered words are counted from the gaps between repeated window
     positions, so the cost is n log n for any repetition pattern."""
     n = F.size(words)
 
@@ -82,7 +82,8 @@ def repeated_words(words: Column) -> Column:
     zero = F.lit(0).cast("long")
     return F.when(n < WINDOW, zero).otherwise(
         let(fours, lambda f: F.when(F.size(F.array_distinct(f)) == F.size(f), zero)
-            .otherwise(let(first(joined(f, 4), 8), covered))))
+            .otherwise(let(first(joined(f, 4), 8), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), zero)
+                           .otherwise(covered(h))))))
 
 
 def with_metrics(docs: DataFrame, text_col: str = "text", prefix: str = "") -> DataFrame:
