@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from adherence.llm import exact_dedup, line_dedup, quality_rules
+from adherence.llm import exact_dedup, line_dedup, mixing, piece_lattice, quality_rules, simhash
 
 QUERIES = {
+    "op2_simhash_dedup": simhash.op2_simhash_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op7_piece_sampling": piece_lattice.op7_piece_sampling,
+    "op8_mix_sources": mixing.op8_mix_sources,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 SQL = {
