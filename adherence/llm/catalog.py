@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from adherence.llm import exact_dedup, line_dedup, mixing, piece_lattice, quality_rules, simhash
+from adherence.llm import exact_dedup, line_dedup, lm, mixing, piece_lattice, quality_rules, simhash
 
 QUERIES = {
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op7_piece_sampling": piece_lattice.op7_piece_sampling,
     "op8_mix_sources": mixing.op8_mix_sources,
+    "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_quality_rules": quality_rules.op10_quality_rules,
 }
 SQL = {
