@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from adherence.llm import exact_dedup, line_dedup, lm, mixing, piece_lattice, quality_rules, simhash
+from adherence.llm import exact_dedup, line_dedup, lm, mixing, piece_lattice, quality_rules, simhash, toxicity, zstd_quality
 
 QUERIES = {
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
+    "op4_zstd_quality": zstd_quality.op4_zstd_quality,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_toxic_segments": toxicity.op6_toxic_segments,
     "op7_piece_sampling": piece_lattice.op7_piece_sampling,
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_lm_scoring": lm.op9_lm_scoring,
