@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from adherence.llm import exact_dedup, line_dedup, lm, mixing, piece_lattice, quality_rules, simhash, toxicity, zstd_quality
+from adherence.llm import (exact_dedup, html_blocks, line_dedup, lm, mixing, piece_lattice, quality_rules, simhash, toxicity,
+                            zstd_quality)
 
 QUERIES = {
+    "op1_html_blocks": html_blocks.op1_html_blocks,
     "op2_simhash_dedup": simhash.op2_simhash_dedup,
     "op3_line_dedup": line_dedup.op3_line_dedup,
     "op4_zstd_quality": zstd_quality.op4_zstd_quality,

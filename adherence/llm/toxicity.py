@@ -6,8 +6,9 @@ different places, (word before, word), so copies of a text count once. With a
 symmetric Dirichlet prior, log-odds between toxic and other texts and their
 standard errors follow; features beyond ``MIN_Z`` and ``MIN_ODDS`` are kept.
 
-Scoring: a word scores the log-odds of its best feature, any other word costs
-``DRIFT``. One linear scan finds all maximal-scoring segments of the text. By
+Scoring: a word scores its own log-odds where it is known (none for words that
+other texts use themselves), else those of its first letters; any other word
+costs ``DRIFT``. One linear scan finds all maximal-scoring segments of the text. By
 extreme-value theory, a text of n words without toxic passages has about
 K n exp(-lambda S) segments of score S or more; what a segment has beyond that,
 max(0, lambda S - ln(K n)), is its evidence. The evidence of all segments is
@@ -15,7 +16,7 @@ summed, and a logistic curve turns it into the score.
 
 Bounds of fitting (documented parameters): ``PER_CLASS`` labelled texts of each
 label; half of them for the counts, half for lambda, K and the curve; at most
-``MAX_FEATURES`` features, which is the bound of the broadcast. Scoring reads
+twice ``MAX_FEATURES`` features, which is the bound of the broadcast. Scoring reads
 whole texts in slices, in one pass without a shuffle.
 
 Defined results: a null or empty text has no segments; a null doc_id is not
@@ -90,7 +91,8 @@ def place_counts(sample: DataFrame) -> DataFrame:
 
 
 def log_odds(counts: DataFrame) -> dict[str, float]:
-    """Log-odds of the significant features, at most ``MAX_FEATURES``."""
+    """Log-odds of the significant features, and 0 for common words that begin
+    like one; at most ``MAX_FEATURES`` of either."""
     whole = counts.filter(~F.col("feature").startswith("^"))
     nt, no, v = whole.agg(F.sum("toxic"), F.sum("other"), F.count("*")).first()
     nt, no = (nt or 0) + PRIOR * v, (no or 0) + PRIOR * v
@@ -101,12 +103,19 @@ def log_odds(counts: DataFrame) -> dict[str, float]:
     rows = (counts.select("feature", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
                   .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS))
                   .orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect())
-    return {r["feature"]: r["odds"] for r in rows}
+    out = {r["feature"]: r["odds"] for r in rows}
+    # Words that other texts use themselves don't follow their first letters.
+    heads = [f[1:] for f in out if f[0] == "^"]
+    plain = (whole.filter(F.substring("feature", 1, 4).isin(heads) & (F.char_length("feature") >= 5) & (F.col("other") > 0))
+                  .orderBy(F.desc("other"), "feature").limit(MAX_FEATURES).collect())
+    out.update((r["feature"], 0.0) for r in plain if r["feature"] not in out)
+    return out
 
 
 # ----------------------------------------------------------------- scoring
 class WordScores(dict):
-    """word -> log-odds of its best feature, 0 for none; a bounded memo."""
+    """word -> its own log-odds where known, else those of its first letters,
+    0 for none; a bounded memo."""
 
     def __init__(self, odds: dict[str, float]):
         super().__init__()
@@ -115,7 +124,8 @@ class WordScores(dict):
     def __missing__(self, word: str) -> float:
         if len(self) > MEMO_WORDS:
             self.clear()
-        self[word] = s = max(self.odds.get(f, 0.0) for f in features_of(word))
+        known = [self.odds[f] for f in features_of(word) if f in self.odds]
+        self[word] = s = known[0] if known else 0.0
         return s
 
 
@@ -209,7 +219,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 def score(docs: DataFrame, model: tuple) -> DataFrame:
     """doc_id, score, evidence and the significant passages (first and last
     word, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most MAX_FEATURES words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * MAX_FEATURES words
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
 
     def run(batches):
