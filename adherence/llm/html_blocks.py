@@ -45,14 +45,14 @@ MEMO = 300_000
 
 # ------------------------------------------------------------------ blocks
 #: Tags whose content is no text, and tags that do not end a block.
-HIDDEN_TAGS = frozenset("script style noscript template svg math head object iframe canvas audio video textarea".split())
+HIDDEN_TAGS = frozenset("script style noscript template svg math head title object iframe canvas audio video textarea".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
                    "q s samp small span strike strong sub sup time tt u var wbr nobr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag of the key ends an open element of the value.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}}
-_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TAG = re.compile(r"<!--.*?(?:--!?>|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>", re.S)
 _NAMES = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _BLANK = re.compile(r"[\x20\x09-\x0D]+")

@@ -24,6 +24,8 @@ columns pass through unchanged (``n_chars``, where present, is set anew).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,7 +88,8 @@ def _place() -> Column:
                + F.conv(F.substring("md5", 1, 8), 16, 10).cast("long")).cast(wide)).cast(wide)
 
 
-def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    chunk_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """(id, md5, drop): positions of the chunks to remove from each text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(*_row_key(id_col, text), F.posexplode(chunks_of(text)).alias("pos", "c"))
@@ -94,7 +97,7 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = (rows.select("id", "md5", "pos", F.col("c.lines").alias("lines"), F.col("c.body").alias("body"),
                         words.alias("words"))
                 .filter((F.col("words") >= MIN_WORDS) & ((F.col("lines") > 1) | (F.col("words") > PASSAGE_WORDS)))
-                .withColumn("hash", F.xxhash64("body")))
+                .withColumn("hash", chunk_hash(F.col("body"))))
     rows = rows.withColumn("place", _place())
     groups = (rows.groupBy("hash", "body").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                   .groupBy("hash").agg(F.count("*").alias("contents"), F.min("first").alias("first"),
@@ -113,13 +116,14 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def remove_repeated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    removed_col: str | None = None) -> DataFrame:
+                    removed_col: str | None = None,
+                    chunk_hash: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
     """``docs`` with the repeated chunks taken out of the text; with
     ``removed_col``, the number of chunks removed from each."""
     before = docs.columns
     kid, kmd5, drop = fresh([*before, removed_col or ""], "key_id", "key_md5", "drop_pos")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    out = repeated_places(docs, id_col, text_col)
+    out = repeated_places(docs, id_col, text_col, chunk_hash)
     out = out.select(F.col("id").alias(kid), F.col("md5").alias(kmd5), F.col("drop").alias(drop))
     a, b = _row_key(id_col, text)
     keyed = docs.withColumns({kid + "_l": a, kmd5 + "_l": b})
