@@ -63,3 +63,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def salted_join(rows: DataFrame, small: DataFrame, key: str, spread: str | list[str], how: str = "inner",
+                salts: int = 32) -> DataFrame:
+    """``rows`` joined with ``small`` (one row per ``key``) where one key may
+    hold most rows: rows are dealt by (key, salt from ``spread``), and the
+    small side is first looked up once for each such pair."""
+    salt = fresh([*rows.columns, *small.columns], "salt")[0]
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*([spread] if isinstance(spread, str) else spread)), F.lit(salts)).cast("int"))
+    pairs = salted.select(key, salt).distinct().join(small, key)
+    return salted.join(pairs, [key, salt], how).drop(salt)

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adherence.llm.common import checkpointed, table
+from adherence.llm.common import checkpointed, salted_join, table
 
 SHINGLE = 4
 RADIUS = 4
@@ -272,12 +272,14 @@ def components(edges: DataFrame) -> DataFrame:
         steps.append(up)
         one = up.select(F.col("node").alias("a"), F.col("up").alias("ua"))
         two = up.select(F.col("node").alias("b"), F.col("up").alias("ub"))
-        e = checkpointed(e.join(one, "a").join(two, "b").filter("ua <> ub")
-                          .select(F.least("ua", "ub").alias("a"), F.greatest("ua", "ub").alias("b")).distinct())
+        e = salted_join(salted_join(e, one, "a", "b"), two, "b", "a")  # a hub may have most edges
+        e = checkpointed(e.filter("ua <> ub").select(F.least("ua", "ub").alias("a"),
+                                                     F.greatest("ua", "ub").alias("b")).distinct())
     out = nodes.withColumn("root", F.col("node"))
     for up in steps:
         step = up.select(F.col("node").alias("root"), "up")
-        out = out.join(step, "root", "left").select("node", F.coalesce("up", "root").alias("root"))
+        out = salted_join(out, step, "root", "node", "left").select("node", F.coalesce("up", "root").alias("root"))
+        out = checkpointed(out)
     return out
 
 
@@ -289,14 +291,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = checkpointed(components(links(nodes, radius=radius)).withColumnRenamed("node", "fp"))
     linked = roots.join(nodes, "fp")
     ids = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = linked.select("fp", "root").join(ids, "root").select("fp", "component_id", F.lit(True).alias("in"))
+    ids = salted_join(linked.select("fp", "root"), ids, "root", "fp").select("fp", "component_id", F.lit(True).alias("in"))
     labels = nodes.join(ids, "fp", "left").select(
         "fp", F.when(F.col("in"), F.col("component_id")).otherwise(F.col("least")).alias("component_id"))
-    # Rows of one fingerprint are spread by a salt before they meet its label.
-    salt = F.pmod(F.xxhash64("doc_id", "row"), F.lit(64)).cast("int")
-    salted = rows.withColumn("salt", salt)
-    lookup = salted.select("fp", "salt").distinct().join(labels, "fp")
-    return salted.join(lookup, ["fp", "salt"]).drop("salt")
+    return salted_join(rows, labels, "fp", ["doc_id", "row"], salts=64).select(*rows.columns, "component_id")
 
 
 def one_of_each(docs: DataFrame, size: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
