@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 
 # The local zone of the timetable and the clock-time pattern.
 DEFAULT_TZ = "America/New_York"
-CLOCK_PATTERN = r"^(\d+):(\d+):(\d+)$"
+CLOCK_PATTERN = r"^0*(\d{1,5}):0*(\d{1,7}):0*(\d{1,9})$"
 
 DAY_RULES = ("reference", "nearest", "start_date")
+#: Instants that have a calendar date: years 6 to about 9890.
+MIN_EPOCH, MAX_EPOCH = -62_000_000_000, 250_000_000_000
 
 
 def _c(c) -> Column:
@@ -24,9 +26,9 @@ def _c(c) -> Column:
 
 
 def clock_parts(clock) -> tuple[Column, Column, Column]:
-    """``'H:M:S'`` -> (h, m, s) as INT. Hours are unbounded, minutes and
-    seconds are not range-checked. Anything other than three unsigned integers
-    (or NULL) gives NULL parts."""
+    """``'H:M:S'`` -> (h, m, s) as INT. Hours may pass 24 (up to five
+    digits), minutes and seconds are not range-checked. Anything other than
+    three unsigned integers (or NULL) gives NULL parts."""
     c = _c(clock)
     parts = []
     for i in (1, 2, 3):
@@ -35,6 +37,13 @@ def clock_parts(clock) -> tuple[Column, Column, Column]:
     return parts[0], parts[1], parts[2]
 
 
+def valid_epoch(epoch) -> Column:
+    """The instant, or NULL where no calendar date can be given for it (an
+    epoch in milliseconds, for example)."""
+    e = _c(epoch)
+    return F.when(e.between(MIN_EPOCH, MAX_EPOCH), e)
+
+
 def _epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
@@ -44,8 +53,12 @@ def _epoch_date() -> Column:
 
 
 def epoch_to_local_ntz(epoch, tz: str = DEFAULT_TZ) -> Column:
-    """Epoch seconds -> wall clock in ``tz`` (TIMESTAMP_NTZ)."""
-    utc_wall = _epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), _c(epoch).cast("decimal(18,6)"))
+    """Epoch seconds -> wall clock in ``tz`` (TIMESTAMP_NTZ). Instants without
+    a calendar date are moved to the nearest that has one; ``valid_epoch``
+    tells them."""
+    e = _c(epoch)
+    within = F.when(e.isNotNull(), F.least(F.greatest(e, F.lit(MIN_EPOCH)), F.lit(MAX_EPOCH)))
+    utc_wall = _epoch_ntz() + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), within.cast("decimal(18,6)"))
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_wall)
 
 
@@ -85,7 +98,7 @@ def scheduled_epoch(clock, actual_epoch, tz: str = DEFAULT_TZ, day_rule: str = "
       * ``nearest``: of the service days d-2 .. d+1 around the actual local
         date d, the one giving the smallest absolute delay (earlier on ties);
       * ``start_date``: the ``start_date`` column (``yyyyMMdd``) fixes the day.
-    NULL when the clock cannot be parsed.
+    NULL when the clock, the actual time or the start date cannot be used.
     """
     if day_rule not in DAY_RULES:
         raise ValueError(f"day_rule must be one of {DAY_RULES}, got {day_rule!r}")
@@ -94,7 +107,7 @@ def scheduled_epoch(clock, actual_epoch, tz: str = DEFAULT_TZ, day_rule: str = "
     if day_rule == "start_date":
         if start_date is None:
             raise ValueError("day_rule='start_date' needs the start_date column")
-        sd = F.to_date(_c(start_date), "yyyyMMdd")
+        sd = start_day(start_date)
         return _instant_of(sd, h, m, s, tz)
     local_day = actual_local_date(e, tz)
     if day_rule == "reference":
@@ -106,6 +119,13 @@ def scheduled_epoch(clock, actual_epoch, tz: str = DEFAULT_TZ, day_rule: str = "
     return F.when(h.isNotNull(), F.least(*cands).getField("inst"))
 
 
+def start_day(start_date) -> Column:
+    """``yyyyMMdd`` as a date; NULL when it is none."""
+    c = _c(start_date)
+    return F.when(c.rlike(r"^\d{8}$"), F.try_to_timestamp(c, F.lit("yyyyMMdd"))).cast("date")
+
+
 def delay_seconds(actual_epoch, sched_epoch) -> Column:
-    """actual - scheduled in whole seconds, sign kept."""
-    return (_c(actual_epoch) - _c(sched_epoch)).cast("int")
+    """actual - scheduled in whole seconds, sign kept; NULL when it does not
+    fit."""
+    return (valid_epoch(actual_epoch) - _c(sched_epoch)).try_cast("int")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adherence.functions.schedule import DEFAULT_TZ, clock_parts, delay_seconds, scheduled_epoch
+from adherence.functions.schedule import DEFAULT_TZ, clock_parts, delay_seconds, scheduled_epoch, valid_epoch
 from adherence.operators.latest import latest_per_key
 from adherence.operators.lookup import schedule_lookup
 
@@ -29,7 +29,8 @@ def choose_actual_time(df: DataFrame, arrival: str = "arrival_epoch", departure:
 def add_delay(df: DataFrame, clock_col: str = "arrival_time", actual_col: str = "actual_epoch",
               tz: str = DEFAULT_TZ, day_rule: str = "reference", start_date_col: str | None = None) -> DataFrame:
     """Adds ``scheduled_epoch``, ``delay_seconds`` and a ``reject_reason``
-    (NULL for good rows; F10: an unparseable or missing clock)."""
+    (NULL for good rows). F10: every row without a schedule or a delay is
+    rejected, whatever made it so."""
     sched = scheduled_epoch(clock_col, actual_col, tz=tz, day_rule=day_rule,
                             start_date=start_date_col)
     h, _, _ = clock_parts(clock_col)
@@ -37,14 +38,18 @@ def add_delay(df: DataFrame, clock_col: str = "arrival_time", actual_col: str =
               .withColumn("delay_seconds", delay_seconds(actual_col, "scheduled_epoch"))
               .withColumn("reject_reason",
                           F.when(F.col(clock_col).isNull(), F.lit("missing clock time"))
-                           .when(h.isNull(), F.lit("unparseable clock time"))))
+                           .when(h.isNull(), F.lit("unparseable clock time"))
+                           .when(valid_epoch(actual_col).isNull(), F.lit("actual time out of range"))
+                           .when(F.col("scheduled_epoch").isNull(), F.lit("no service day"))
+                           .when(F.col("delay_seconds").isNull(), F.lit("delay out of range"))))
 
 
 def trip_delays(updates: DataFrame, stop_times: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,
                 order: str | Sequence[str] = "arrival_order", tz: str = DEFAULT_TZ,
                 day_rule: str = "reference", arrival: str = "arrival_epoch",
                 departure: str = "departure_epoch", time_col: str = "arrival_time",
-                with_rejects: bool = False, keep_order: bool = False):
+                with_rejects: bool = False, keep_order: bool = False,
+                unique_stop_times: bool = False, broadcast_updates: bool = False):
     """The fact table ``trip_delays``: latest delay per key.
 
     Plan: drop updates without a time, reduce to the latest update per key
@@ -55,12 +60,15 @@ def trip_delays(updates: DataFrame, stop_times: DataFrame, keys: Sequence[str] =
     join gives the same rows as the reference's per-update loop, where a
     failing update never replaces an older good one.
     Returns the accepted frame, or (accepted, rejected) with ``with_rejects``.
+    ``unique_stop_times``: the timetable has one row per key already;
+    ``broadcast_updates``: the caller has bounded their number.
     ``keep_order`` (``order`` a column name) keeps the winning order value,
     for merging with later batches."""
     timed = choose_actual_time(updates, arrival, departure)
     vals = ["actual_epoch", "time_source"] + ([order] if keep_order else [])
     latest = latest_per_key(timed, keys, vals, order)
-    joined = schedule_lookup(latest, stop_times, keys, time_col)
+    joined = schedule_lookup(latest, stop_times, keys, time_col, dedupe=not unique_stop_times,
+                             broadcast_updates=broadcast_updates)
     scored = add_delay(joined, time_col, "actual_epoch", tz, day_rule)
     cols = [*keys, "scheduled_epoch", "actual_epoch", "delay_seconds", "time_source"] + \
         ([order] if keep_order else [])
@@ -71,10 +79,3 @@ def trip_delays(updates: DataFrame, stop_times: DataFrame, keys: Sequence[str] =
                                                                    "reject_reason")
     return good, bad
 
-
-def with_timestamps(df: DataFrame, cols=("scheduled_epoch", "actual_epoch")) -> DataFrame:
-    """Adds TIMESTAMP columns (``scheduled_arrival``, ``actual_arrival``)."""
-    names = {"scheduled_epoch": "scheduled_arrival", "actual_epoch": "actual_arrival"}
-    for c in cols:
-        df = df.withColumn(names.get(c, c + "_ts"), F.timestamp_seconds(c))
-    return df

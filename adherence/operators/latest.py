@@ -29,14 +29,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str], or
               .select(*keys, *[F.col("_v")[v].alias(v) for v in values]))
 
 
-def upsert(current: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``changes`` replace rows of ``current`` with equal keys; the
-    rest of ``current`` is kept (``INSERT .. ON CONFLICT DO UPDATE``).
-    ``changes`` must hold at most one row per key (see ``latest_per_key``)."""
-    kept = current.join(changes.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(changes.select(*current.columns))
-
-
 def apply_differential(entities: DataFrame, id_col: str = "entity_id", deleted_col: str = "is_deleted",
                        order="arrival_order", values: Sequence[str] | None = None) -> DataFrame:
     """Differential feed semantics: per entity id the latest entity wins and
@@ -46,3 +38,14 @@ def apply_differential(entities: DataFrame, id_col: str = "entity_id", deleted_c
         values.append(deleted_col)
     latest = latest_per_key(entities, [id_col], values, order)
     return latest.filter(~F.coalesce(F.col(deleted_col), F.lit(False)))
+
+
+def apply_feeds(entities: DataFrame, id_col: str = "entity_id", deleted_col: str = "is_deleted", full_col: str = "is_full",
+                order: str = "arrival_order", values: Sequence[str] | None = None) -> DataFrame:
+    """Feeds of both kinds: a full-dataset feed replaces everything that came
+    before it, differential feeds change single entities. ``order`` is the
+    arrival of the feed of a row, ``full_col`` says whether that feed is full."""
+    values = list(values or [c for c in entities.columns if c not in (id_col, full_col, order)])
+    start = entities.filter(F.col(full_col)).agg(F.max(order).alias("_start"))  # one row
+    live = entities.join(F.broadcast(start), F.col("_start").isNull() | (F.col(order) >= F.col("_start")))
+    return apply_differential(live.drop("_start"), id_col, deleted_col, order, values)

@@ -5,10 +5,9 @@ nothing is raised until ``enforce`` is called after all checks ran, so a
 table is never published before the checks of the others (the reference
 overwrites each table before testing integrity).
 
-Per table, the null, type, row-count and uniqueness checks share ONE
-aggregate: rows are grouped on the key (partial aggregation on the map side,
-one shuffle), and the per-group counts are summed. Samples are the five
-smallest violating keys, taken with a per-partition top-k, never by
+Per table, row, null and type counts come from one global aggregate without a
+shuffle of rows; uniqueness shuffles the key columns alone. Samples are the
+five smallest violating keys, taken with a per-partition top-k, never by
 collecting a group.
 """
 
@@ -64,20 +63,10 @@ def sample_of(df: DataFrame, keys: Sequence[str], n: int = SAMPLE_N) -> DataFram
     return top.agg(F.array_sort(F.collect_list(key_text(keys))).alias("sample"))
 
 
-def _merge(parts: list[DataFrame]) -> DataFrame:
-    """Union partial report rows and merge the violation count and sample of
-    the same (table, check, column)."""
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return (u.groupBy("table", "check", "column")
-             .agg(F.max("violations").alias("violations"), F.max("sample").alias("sample")))
-
-
 def table_checks(df: DataFrame, table: str, keys: Sequence[str] | None = None,
                  schema: StructType | None = None, non_nullable: Iterable[str] | None = None,
                  sample_n: int = SAMPLE_N) -> DataFrame:
-    """Q3 + Q4 + Q5 + Q6 for one table in one pass.
+    """Q3 + Q4 + Q5 + Q6 for one table.
 
     ``df`` is the table as read (text columns for CSV, typed otherwise);
     ``schema`` the declared schema: its non-nullable fields are null-checked
@@ -91,31 +80,29 @@ def table_checks(df: DataFrame, table: str, keys: Sequence[str] | None = None,
         for f in schema.fields:
             if f.name in cols and _bad_type(df, f.name, f.dataType) is not None:
                 typed.append((f.name, f.dataType))
+    # Counts that need no grouping: one global aggregate, no shuffle of rows.
     per_row = [F.count_if(null_or_empty(df, c)).alias(f"n_{i}") for i, c in enumerate(nn)]
     per_row += [F.count_if(_bad_type(df, c, t)).alias(f"t_{i}") for i, (c, t) in enumerate(typed)]
-    keys = [k for k in (keys or []) if k in cols]
-    if keys:
-        grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *per_row)
-        totals = grouped.agg(F.sum("_n").alias("_rows"), F.count(F.lit(1)).alias("_distinct"),
-                             *[F.sum(f"n_{i}").alias(f"n_{i}") for i in range(len(nn))],
-                             *[F.sum(f"t_{i}").alias(f"t_{i}") for i in range(len(typed))])
-    else:
-        totals = df.agg(F.count(F.lit(1)).alias("_rows"), *per_row)
-    zero = F.lit(0).cast("bigint")
-    rows = [_row(table, "row_count", None, F.coalesce(F.col("_rows"), zero))]
-    rows += [_row(table, "null_check", c, F.coalesce(F.col(f"n_{i}"), zero)) for i, c in enumerate(nn)]
-    rows += [_row(table, "type_match", c, F.coalesce(F.col(f"t_{i}"), zero)) for i, (c, _) in enumerate(typed)]
-    if keys:
-        rows.append(_row(table, "unique_check", ",".join(keys),
-                         F.coalesce(F.col("_rows") - F.col("_distinct"), zero)))
+    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *per_row)
+    rows = [_row(table, "row_count", None, F.col("_rows"))]
+    rows += [_row(table, "null_check", c, F.col(f"n_{i}")) for i, c in enumerate(nn)]
+    rows += [_row(table, "type_match", c, F.col(f"t_{i}")) for i, (c, _) in enumerate(typed)]
+    keys = list(keys or [])
+    absent = [k for k in keys if k not in cols]
+    if absent:  # a part of the key says nothing about the key
+        rows.append(_row(table, "skipped", ",".join(keys), F.lit(None)))
     # One aggregate row -> one report row per check, via an array of structs.
-    structs = [F.struct(*r) for r in rows]
-    report = totals.select(F.inline(F.array(*structs)))
-    if not keys:
+    report = totals.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+    if not keys or absent:
         return report
+    # Uniqueness: one shuffle of the key columns alone, read by both branches
+    # (the same exchange), for the count and for the smallest repeated keys.
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    label = ",".join(keys)
+    count = grouped.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v"))
     dups = sample_of(grouped.filter(F.col("_n") > 1), keys, sample_n)
-    dup_row = dups.select(*_row(table, "unique_check", ",".join(keys), F.lit(None), F.col("sample")))
-    return _merge([report, dup_row])
+    unique = count.join(F.broadcast(dups), F.lit(True), "left")  # one row each
+    return report.unionByName(unique.select(*_row(table, "unique_check", label, F.col("v"), F.col("sample"))))
 
 
 def foreign_key(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,
@@ -125,11 +112,10 @@ def foreign_key(child: DataFrame, parent: DataFrame, child_col: str, parent_col:
     sample of five. A NULL child value matches nothing and is counted."""
     missing = missing_keys(child, parent, child_col, parent_col)
     label = f"{child_col}->{parent_table}.{parent_col}"
-    cnt = missing.agg(F.count(F.lit(1)).alias("v")).select(
-        *_row(child_table, "foreign_key", label, F.col("v")))
-    smp = sample_of(missing, [child_col], sample_n).select(
-        *_row(child_table, "foreign_key", label, F.lit(None), F.col("sample")))
-    return _merge([cnt, smp])
+    cnt = missing.agg(F.count(F.lit(1)).alias("v"))
+    smp = sample_of(missing, [child_col], sample_n)
+    return cnt.join(F.broadcast(smp), F.lit(True), "left").select(
+        *_row(child_table, "foreign_key", label, F.col("v"), F.col("sample")))
 
 
 def missing_keys(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str) -> DataFrame:
@@ -166,11 +152,12 @@ def failures(report: DataFrame) -> DataFrame:
     return report.filter(F.col("check").isin(*FATAL_CHECKS) & (F.col("violations") > 0))
 
 
-def enforce(report: DataFrame, max_lines: int = 50) -> None:
-    """Raise ``DataQualityError`` when any fatal check failed. Only failing
-    rows reach the driver, and at most ``max_lines`` of them."""
-    bad = failures(report).orderBy("table", "check", "column").limit(max_lines).collect()
+def enforce(report: DataFrame) -> None:
+    """Raise ``DataQualityError`` when any fatal check failed, naming all of
+    them: there is one row per table, check and column, so their number does
+    not depend on the data."""
+    bad = failures(report).orderBy("table", "check", "column").collect()
     if bad:
         lines = [f"{r['table']}.{r['column']}: {r['check']} {r['violations']} "
                  f"(sample {list(r['sample'] or [])})" for r in bad]
-        raise DataQualityError("data quality failed:\n" + "\n".join(lines))
+        raise DataQualityError(f"data quality failed ({len(bad)} checks):\n" + "\n".join(lines))

@@ -93,11 +93,6 @@ def delay_series(facts: DataFrame, trip=None, trip_key: str = "trip_id") -> Data
         else late_stops(facts, None, trip_key).select(trip_key, "stop_sequence", "delay_seconds")
 
 
-def first_row(df: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
-    """One row or none, the smallest in ``order`` (all columns by default)."""
-    return df.orderBy(*(order or df.columns)).limit(1)
-
-
 def top_k(df: DataFrame, key: str, n: int, tie_break: Sequence[str] = ()) -> DataFrame:
     """O1: the ``n`` rows with the highest ``key``."""
     return df.orderBy(F.col(key).desc(), *[F.col(c).asc_nulls_last() for c in tie_break]).limit(n)

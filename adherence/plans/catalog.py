@@ -32,6 +32,7 @@ def c2_trip_delays(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- serving
+from pyspark.sql import Window  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from adherence.functions.labels import display_label  # noqa: E402
@@ -103,7 +104,10 @@ def p14_series_project(spark, sf_dir):
 
 @query("o2_sort")
 def o2_sort(spark, sf_dir):
-    return S.late_stops(facts(spark, sf_dir), selected_trip_value(spark, sf_dir))
+    """All late stops with their place in the order of their trip."""
+    place = F.row_number().over(Window.partitionBy("trip_id").orderBy("stop_sequence", "stop_id"))
+    return facts(spark, sf_dir).filter("delay_seconds > 0").select(
+        "trip_id", "stop_sequence", "stop_id", "delay_seconds", place.alias("place"))
 
 
 @query("c7_trip_info")
@@ -373,11 +377,6 @@ def p9_first_trip(spark, sf_dir):
     return FL.first_trip(feeds)
 
 
-@query("c3_trip_level_delay")
-def c3_trip_level_delay(spark, sf_dir):
-    return p9_first_trip(spark, sf_dir)
-
-
 @query("p10_delay_default")
 def p10_delay_default(spark, sf_dir):
     e = FL.trip_entities(decoded_entities(spark, sf_dir))
@@ -407,8 +406,7 @@ def trip_update_records(spark, sf_dir) -> DataFrame:
 @query("t6_decode_trip_update")
 def t6_decode_trip_update(spark, sf_dir):
     d = FD.decode(trip_update_records(spark, sf_dir), root="TripUpdate", keep=["feed_key"])
-    return d.select("feed_key", *FL.trip_update_rows(d, with_time=False).columns) if False else \
-        d.filter("decode_error IS NULL").select(
+    return d.filter("decode_error IS NULL").select(
             "feed_key", F.col("message.trip.trip_id").alias("trip_id"),
             F.col("message.trip.start_date").alias("start_date"),
             F.col("message.trip.route_id").alias("route_id"),
@@ -421,19 +419,13 @@ def p11_trip_update_map(spark, sf_dir):
     return FL.trip_update_rows(d, with_time=False)
 
 
-@query("c4_trip_update_log")
-def c4_trip_update_log(spark, sf_dir):
-    d = FD.decode(trip_update_records(spark, sf_dir), root="TripUpdate", keep=["feed_key"])
-    return FL.trip_update_rows(d, with_time=True)
-
-
 # ---------------------------------------------------------------- streaming
 from adherence.sources.stream import file_stream, land_records  # noqa: E402
 from adherence.streaming import jobs as J  # noqa: E402
 from adherence.streaming.sink import FactTable  # noqa: E402
 
 
-def landed_feeds(spark, sf_dir, files: int = 4) -> str:
+def landed_feeds(spark, sf_dir, files: int | None = None) -> str:
     folder = work_path(spark, "landing", "feeds", unique=True)
     land_records(FB.feeds(spark, sf_dir), folder, "trip-updates", files=files, ts_col="feed_ts")
     return folder
@@ -449,8 +441,8 @@ def c2_trip_delays_stream(spark, sf_dir):
                                         {"trip_id": "bigint", "stop_id": "bigint", "stop_sequence": "int"})[0]
     order_type = ups_schema.schema["arrival_order"].dataType
     table = FactTable(spark, work_path(spark, "tables", "trip_delays", unique=True),
-                      J.fact_schema(st, B.KEYS, order_type), B.KEYS, n_buckets=16)
-    q = J.run_delay_stream(spark, file_stream(spark, folder, max_files_per_trigger=2), st, table,
+                      J.fact_schema(st, B.KEYS, order_type), B.KEYS)
+    q = J.run_delay_stream(spark, file_stream(spark, folder, max_files_per_trigger=8), st, table,
                            work_path(spark, "streams", "c2", unique=True), trigger={"availableNow": True})
     q.awaitTermination()
     return table.read()
@@ -458,7 +450,7 @@ def c2_trip_delays_stream(spark, sf_dir):
 
 # ---------------------------------------------------------------- analytics
 from adherence.operators import analytics as AN  # noqa: E402
-from adherence.operators.latest import apply_differential, latest_per_key  # noqa: E402
+from adherence.operators.latest import apply_differential, apply_feeds, latest_per_key  # noqa: E402
 
 
 @query("r1_delay_hotspots")
@@ -518,3 +510,261 @@ def t1_latest_per_key(spark, sf_dir):
     """Latest event per user (last write wins on the event stream table)."""
     ev = B.events(spark, sf_dir)
     return latest_per_key(ev, ["user_id"], ["event_id", "event_type", "value", "props"], ["ts", "event_id"])
+
+
+# ------------------------------------------------- streams into their sinks
+from adherence.sources.tables import publish, read_table  # noqa: E402
+
+
+@query("c3_trip_level_delay")
+def c3_trip_level_delay(spark, sf_dir):
+    """C3 as a stream: landed feeds -> first trip of each -> append sink."""
+    sink = work_path(spark, "tables", "trip_delay", unique=True)
+    J.run_trip_level_stream(file_stream(spark, landed_feeds(spark, sf_dir), max_files_per_trigger=8), sink,
+                            work_path(spark, "streams", "c3", unique=True), {"availableNow": True}).awaitTermination()
+    return spark.read.schema("trip_id string, route_id string, delay int").parquet(sink)
+
+
+@query("c4_trip_update_log")
+def c4_trip_update_log(spark, sf_dir):
+    """C4 as a stream: landed trip updates -> append sink (S13). The time of
+    processing is compared as being there."""
+    landing, sink = (work_path(spark, *p, unique=True) for p in (("landing", "updates"), ("tables", "trip_update")))
+    land_records(trip_update_records(spark, sf_dir), landing, "trip-update-log")
+    J.run_trip_update_log(file_stream(spark, landing, max_files_per_trigger=8), sink,
+                          work_path(spark, "streams", "c4", unique=True), {"availableNow": True}).awaitTermination()
+    rows = spark.read.schema("trip_id string, start_date string, route_id string, timestamp timestamp").parquet(sink)
+    return rows.select("trip_id", "start_date", "route_id", F.col("timestamp").isNotNull().alias("has_time"))
+
+
+@query("t4_replayed_batches")
+def t4_replayed_batches(spark, sf_dir):
+    """Facts upserted in two batches, each sent twice, then compacted."""
+    st = B.stop_times_raw(spark, sf_dir)
+    good = trip_delays(B.stop_updates(spark, sf_dir), st, keys=B.KEYS, order="arrival_order", keep_order=True)
+    table = FactTable(spark, work_path(spark, "tables", "replayed", unique=True),
+                      J.fact_schema(st, B.KEYS, good.schema["arrival_order"].dataType), B.KEYS, compact_every=2)
+    odd = F.col("trip_id") % 2 == 1
+    for batch, rows in ((0, good.filter(odd)), (0, good), (1, good), (1, good.filter(odd))):
+        table.upsert(rows, batch)
+    return table.read()
+
+
+@query("s5_table_overwrite")
+def s5_table_overwrite(spark, sf_dir):
+    """A table published twice: the second version is what is read."""
+    path = work_path(spark, "tables", "trips", unique=True)
+    t = B.trips(spark, sf_dir)
+    publish(spark, t.filter("direction_id = 0"), path)
+    publish(spark, t, path)
+    return read_table(spark, path)
+
+
+@query("r4_backfill")
+def r4_backfill(spark, sf_dir):
+    """Facts of every feed day (the ship day)."""
+    day = epoch_of_ntz(F.to_timestamp_ntz(F.to_date("arrival_order.l_shipdate")))
+    return J.backfill_facts(B.stop_updates(spark, sf_dir).withColumn("feed_ts", day), B.stop_times_raw(spark, sf_dir), B.KEYS)
+
+
+# ---------------------------------------------------- schedule expressions
+from adherence.functions import schedule as T  # noqa: E402
+from adherence.functions.schedule import epoch_of_ntz  # noqa: E402
+from adherence.operators.delays import add_delay  # noqa: E402
+from adherence.operators.lookup import schedule_lookup  # noqa: E402
+
+
+@query("j2_schedule_lookup")
+def j2_schedule_lookup(spark, sf_dir):
+    latest = latest_per_key(choose_actual_time(B.stop_updates(spark, sf_dir)), B.KEYS, ["actual_epoch"], "arrival_order")
+    return schedule_lookup(latest, B.stop_times_raw(spark, sf_dir), B.KEYS)
+
+
+@query("f1_clock_parse")
+def f1_clock_parse(spark, sf_dir):
+    h, m, s = T.clock_parts("arrival_time")
+    return B.stop_times_raw(spark, sf_dir).select("trip_id", "stop_sequence", "arrival_time", h.alias("h"), m.alias("m"),
+                                                  s.alias("s"))
+
+
+@query("f2_duration")
+def f2_duration(spark, sf_dir):
+    h, m, s = T.clock_parts("arrival_time")
+    return B.stop_times_raw(spark, sf_dir).select("trip_id", "stop_sequence", (h * 3600 + m * 60 + s).alias("seconds"))
+
+
+@query("f3_epoch_to_ts")
+def f3_epoch_to_ts(spark, sf_dir):
+    wall = T.epoch_to_local_ntz("actual_epoch")
+    return j2_schedule_lookup(spark, sf_dir).select(*B.KEYS, "actual_epoch", T.epoch_of_ntz(wall).alias("wall_seconds"))
+
+
+@query("f4_local_date")
+def f4_local_date(spark, sf_dir):
+    return j2_schedule_lookup(spark, sf_dir).select(*B.KEYS, T.actual_local_date("actual_epoch").cast("string").alias("day"))
+
+
+@query("f5_service_date")
+def f5_service_date(spark, sf_dir):
+    h, _, _ = T.clock_parts("arrival_time")
+    day = T.service_date(T.actual_local_date("actual_epoch"), h)
+    return j2_schedule_lookup(spark, sf_dir).select(*B.KEYS, day.cast("string").alias("day"))
+
+
+@query("f6_schedule_instant")
+def f6_schedule_instant(spark, sf_dir):
+    return j2_schedule_lookup(spark, sf_dir).select(*B.KEYS, T.scheduled_epoch("arrival_time", "actual_epoch").alias("scheduled"))
+
+
+@query("f7_delay_seconds")
+def f7_delay_seconds(spark, sf_dir):
+    at = T.scheduled_epoch("arrival_time", "actual_epoch")
+    return j2_schedule_lookup(spark, sf_dir).select(*B.KEYS, T.delay_seconds("actual_epoch", at).alias("delay"))
+
+
+@query("f10_skip_bad_row")
+def f10_skip_bad_row(spark, sf_dir):
+    """Delays of rows with every kind of fault, by the line number."""
+    n = F.col("stop_sequence") % 7
+    clock = (F.when(n == 1, "99999999:00:00").when(n == 2, "no clock").when(n == 3, None)
+              .when(n == 4, "08:99999999999:00").otherwise(F.col("arrival_time")))
+    epoch = F.when(n == 5, F.col("actual_epoch") * 1000).otherwise(F.col("actual_epoch"))
+    bad = j2_schedule_lookup(spark, sf_dir).withColumns({"arrival_time": clock, "actual_epoch": epoch})
+    return add_delay(bad).select(*B.KEYS, "reject_reason", "delay_seconds")
+
+
+@query("k5_bad_start_date")
+def k5_bad_start_date(spark, sf_dir):
+    """The service day from start dates of which some are no dates."""
+    n = F.col("trip_id") % 4
+    day = F.when(n == 1, "2025-13-99").when(n == 2, None).when(n == 3, "20251399").otherwise("19950301")
+    rows = j2_schedule_lookup(spark, sf_dir).withColumn("start_date", day)
+    return add_delay(rows, day_rule="start_date", start_date_col="start_date").select(*B.KEYS, "reject_reason", "delay_seconds")
+
+
+@query("t5_rejects")
+def t5_rejects(spark, sf_dir):
+    """Feeds of which a fifth have damaged bytes and a fifth none."""
+    block = F.split("feed_key", "/")[1].cast("long") % 5
+    value = F.when(block == 0, F.concat("value", F.unhex(F.lit("FF")))).when(block == 1, None).otherwise(F.col("value"))
+    d = FD.decode(FB.feeds(spark, sf_dir).withColumn("value", value), keep=["feed_key"])
+    return d.groupBy("feed_key").agg(F.count_if(F.col("decode_error").isNotNull()).alias("rejects"),
+                                     F.count_if(F.col("decode_error").isNull()).alias("entities"))
+
+
+# --------------------------------------------------- data with violations
+def faulty_tables(spark, sf_dir) -> dict[str, DataFrame]:
+    """The bound tables with routes missing, emptied text and NULLs by rule."""
+    t = bound_tables(spark, sf_dir)
+    t["routes"] = t["routes"].filter("route_id % 10 <> 3")
+    t["trips"] = t["trips"].withColumns({
+        "service_id": F.when(F.col("trip_id") % 11 == 0, "").otherwise(F.col("service_id")),
+        "direction_id": F.when(F.col("trip_id") % 13 == 0, None).otherwise(F.col("direction_id"))})
+    t["stops"] = t["stops"].filter("stop_id % 10 <> 7")
+    return t
+
+
+@query("q4_null_violations")
+def q4_null_violations(spark, sf_dir):
+    t = faulty_tables(spark, sf_dir)["trips"]
+    return Q.table_checks(t, "trips", SC.PRIMARY_KEYS["trips"], SC.STATIC_SCHEMAS["trips"])
+
+
+@query("q5_absent_key")
+def q5_absent_key(spark, sf_dir):
+    """A key column that the table lacks: the check is reported as skipped."""
+    return Q.table_checks(B.trips(spark, sf_dir).drop("service_id"), "trips", SC.PRIMARY_KEYS["trips"])
+
+
+@query("r5_link_violations")
+def r5_link_violations(spark, sf_dir):
+    return Q.integrity(faulty_tables(spark, sf_dir), SC.ALL_LINKS)
+
+
+@query("q8_integrity_violations")
+def q8_integrity_violations(spark, sf_dir):
+    return Q.integrity(faulty_tables(spark, sf_dir), SC.CODED_LINKS)
+
+
+@query("j1_missing_routes")
+def j1_missing_routes(spark, sf_dir):
+    t = faulty_tables(spark, sf_dir)
+    return Q.missing_keys(t["trips"], t["routes"], "route_id", "route_id")
+
+
+@query("p2_empty_values")
+def p2_empty_values(spark, sf_dir):
+    t = faulty_tables(spark, sf_dir)["trips"]
+    return t.agg(*[F.count_if(Q.null_or_empty(t, c)).alias(f"empty_{c}") for c in ("service_id", "direction_id")])
+
+
+@query("j4_unmatched_routes")
+def j4_unmatched_routes(spark, sf_dir):
+    t = faulty_tables(spark, sf_dir)
+    return t["trips"].select("trip_id", "route_id").join(t["routes"].select("route_id", "route_short_name"), "route_id", "left")
+
+
+@query("o3_sample_5")
+def o3_sample_5(spark, sf_dir):
+    dup = B.stop_times_raw(spark, sf_dir).groupBy("trip_id", "stop_sequence").count().filter("count > 1")
+    return Q.sample_of(dup, ["trip_id", "stop_sequence"])
+
+
+# ------------------------------------------- relationships and full feeds
+def related_facts(spark, sf_dir) -> DataFrame:
+    """Facts with a relationship, and delays that are missing, by rule."""
+    return facts(spark, sf_dir).withColumns({
+        "rel": F.when(F.col("stop_sequence") % 4 == 3, "NO_DATA"),
+        "delay_seconds": F.when(F.col("stop_sequence") % 5 != 2, F.col("delay_seconds"))})
+
+
+@query("k1_resets")
+def k1_resets(spark, sf_dir):
+    return AN.propagate_delays(B.stop_times(spark, sf_dir), related_facts(spark, sf_dir), relationship="rel")
+
+
+@query("k1_resets_by_block")
+def k1_resets_by_block(spark, sf_dir):
+    return AN.propagate_delays(B.stop_times(spark, sf_dir), related_facts(spark, sf_dir), relationship="rel", block_size=2)
+
+
+@query("k3_delay_only_event")
+def k3_delay_only_event(spark, sf_dir):
+    """Events with a time, with only a delay, or with neither."""
+    n = F.col("stop_sequence") % 3
+    rows = facts(spark, sf_dir).withColumns({"time": F.when(n == 0, F.col("actual_epoch")),
+                                             "late": F.when(n < 2, F.col("stop_id") % 600)})
+    return AN.resolve_event_time(rows, "time", "late", out="resolved").select(*B.KEYS, "resolved")
+
+
+@query("k4_active_only")
+def k4_active_only(spark, sf_dir):
+    rows = B.stop_updates(spark, sf_dir, with_order=False).withColumns({
+        "stop_relationship": F.when(F.col("stop_sequence") % 4 == 0, "SKIPPED").when(F.col("stop_sequence") % 4 == 1, "SCHEDULED"),
+        "trip_relationship": F.when(F.col("trip_id") % 5 == 0, "CANCELED").when(F.col("trip_id") % 5 == 1, "DELETED"),
+        "is_deleted": F.when(F.col("stop_id") % 7 == 0, True)})
+    return FL.active_only(rows).select(*B.KEYS, "arrival_epoch", "departure_epoch")
+
+
+def _entities(spark, sf_dir) -> DataFrame:
+    return decoded_entities(spark, sf_dir).select(
+        F.col("entity.id").alias("entity_id"), "feed_key", F.size("entity.trip_update.stop_time_update").alias("n_stops"),
+        F.col("header.timestamp").alias("ts"), "entity_pos",
+        (F.col("entity.id").cast("long") % 3 == (F.col("header.timestamp") / 86400).cast("long") % 3).alias("is_deleted"))
+
+
+@query("k6_deleted")
+def k6_deleted(spark, sf_dir):
+    """Differential feeds of which some delete their entity."""
+    e = _entities(spark, sf_dir).withColumn("arrival_order", F.struct("ts", "entity_pos", "feed_key"))
+    return apply_differential(e, values=["feed_key", "n_stops"], order="arrival_order").drop("is_deleted")
+
+
+@query("k6_full_dataset")
+def k6_full_dataset(spark, sf_dir):
+    """Feeds by day, of which every 100th day's are full datasets."""
+    e = _entities(spark, sf_dir).withColumns({"is_full": (F.col("ts") / 86400).cast("long") % 100 == 0,
+                                              "arrival_order": F.col("ts")})
+    one = e.groupBy("entity_id", "arrival_order").agg(F.sum("n_stops").alias("n_stops"), F.max("is_deleted").alias("is_deleted"),
+                                                      F.max("is_full").alias("is_full"))
+    return apply_feeds(one, values=["n_stops"]).drop("is_deleted")

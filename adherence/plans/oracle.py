@@ -94,7 +94,10 @@ FROM trip_delays td JOIN trips dt ON td.trip_id = dt.trip_id LEFT JOIN routes dr
 GROUP BY td.trip_id, dt.route_id, dr.route_short_name, dt.trip_headsign""")
 _LATE = "SELECT stop_sequence, stop_id, scheduled_epoch, actual_epoch, delay_seconds FROM trip_delays"
 SQL["c6_late_stops"] = with_bind(f"{_LATE} WHERE trip_id = {_SEL} AND delay_seconds > 0 ORDER BY stop_sequence")
-SQL["o2_sort"] = SQL["c6_late_stops"]
+SQL["o2_sort"] = with_bind("""
+SELECT trip_id, stop_sequence, stop_id, delay_seconds,
+       CAST(row_number() OVER (PARTITION BY trip_id ORDER BY stop_sequence, stop_id) AS INTEGER) AS place
+FROM trip_delays WHERE delay_seconds > 0""")
 SQL["c6_late_stops_all"] = with_bind(
     "SELECT trip_id, stop_sequence, stop_id, scheduled_epoch, actual_epoch, delay_seconds FROM trip_delays "
     "WHERE delay_seconds > 0")
@@ -167,7 +170,6 @@ def _table_report(name, src=None):
 
 _REPORT = "\nUNION ALL\n".join(_table_report(n) for n in _QT)
 _BINDQ = BIND.strip().replace("stop_times AS (", "stop_times_agg AS (") + _CAL
-_BINDQ = _BINDQ.replace("stops AS (SELECT", "stops AS (SELECT")
 
 
 def with_bind_q(body: str) -> str:
@@ -270,7 +272,8 @@ FROM fs WHERE coalesce(arrival_epoch, departure_epoch) IS NOT NULL"""
 SQL["p8_proto_defaults"] = _FEED + "SELECT feed_key, stop_pos, trip_id, stop_id, stop_sequence FROM fs"
 _FIRST = _FEED + "SELECT feed_key, f.trip_id AS trip_id, f.route_id AS route_id, f.delay AS delay FROM first_trip"
 SQL["p9_first_trip"] = _FIRST
-SQL["c3_trip_level_delay"] = _FIRST
+SQL["c3_trip_level_delay"] = _FEED + "SELECT f.trip_id AS trip_id, f.route_id AS route_id, f.delay AS delay FROM first_trip"
+SQL["c4_trip_update_log"] = _FEED + "SELECT trip_id, start_date, route_id, true AS has_time FROM ent"
 SQL["u1_scalar_udf"] = _FIRST
 SQL["u2_udf_register"] = _FIRST
 SQL["p10_delay_default"] = _FEED + "SELECT feed_key, entity_id, coalesce(trip_delay, 0) AS delay FROM ent"
@@ -400,3 +403,111 @@ SQL["c1_load_static"] = with_bind_q(
     "t_calendar AS (SELECT * FROM calendar), t_stop_times AS (SELECT * FROM stop_times)\n"
     + "\nUNION ALL\n".join(_c1_table(n) for n in _QT) + "\nUNION ALL\n"
     + _fk("trips", "route_id", "routes", "route_id"))
+
+# ------------------------------------------------------ schedule, streams
+SQL["t4_replayed_batches"] = SQL["c2_trip_delays"]
+SQL["s5_table_overwrite"] = with_bind("SELECT * FROM trips")
+SQL["j2_schedule_lookup"] = with_bind("SELECT trip_id, stop_id, stop_sequence, actual_epoch, arrival_time FROM joined")
+_PARTS = "CAST(split_part(arrival_time, ':', {}) AS INTEGER)"
+_HMS = [_PARTS.format(i) for i in (1, 2, 3)]
+SQL["f1_clock_parse"] = with_bind(
+    f"SELECT trip_id, stop_sequence, arrival_time, {_HMS[0]} AS h, {_HMS[1]} AS m, {_HMS[2]} AS s FROM stop_times_raw")
+SQL["f2_duration"] = with_bind(
+    f"SELECT trip_id, stop_sequence, {_HMS[0]} * 3600 + {_HMS[1]} * 60 + {_HMS[2]} AS seconds FROM stop_times_raw")
+_K = "SELECT trip_id, stop_id, stop_sequence"
+_WALL = f"timezone('{TZ}', to_timestamp(actual_epoch))"
+SQL["f3_epoch_to_ts"] = with_bind(f"{_K}, actual_epoch, CAST(epoch({_WALL}) AS BIGINT) AS wall_seconds FROM joined")
+SQL["f4_local_date"] = with_bind(f"{_K}, CAST(CAST({_WALL} AS DATE) AS VARCHAR) AS day FROM joined")
+SQL["f5_service_date"] = with_bind(
+    f"{_K}, CAST(CAST({_WALL} AS DATE) - CAST(CASE WHEN h >= 24 THEN 1 ELSE 0 END AS INTEGER) AS VARCHAR) AS day FROM joined")
+SQL["f6_schedule_instant"] = with_bind(f"{_K}, scheduled_epoch AS scheduled FROM scored")
+SQL["f7_delay_seconds"] = with_bind(f"{_K}, delay_seconds AS delay FROM trip_delays")
+SQL["f10_skip_bad_row"] = with_bind(f"""{_K},
+  CASE stop_sequence % 7 WHEN 1 THEN 'unparseable clock time' WHEN 2 THEN 'unparseable clock time' WHEN 3 THEN 'missing clock time'
+       WHEN 4 THEN 'unparseable clock time' WHEN 5 THEN 'actual time out of range' END AS reject_reason,
+  CASE WHEN stop_sequence % 7 IN (0, 6) THEN delay_seconds END AS delay_seconds FROM trip_delays""")
+SQL["k5_bad_start_date"] = with_bind(f"""{_K}, CASE WHEN trip_id % 4 <> 0 THEN 'no service day' END AS reject_reason,
+  CASE WHEN trip_id % 4 = 0 THEN CAST(actual_epoch - CAST(epoch(timezone('{TZ}', TIMESTAMP '1995-03-01 00:00:00'
+    + to_seconds(CAST(h AS BIGINT) * 3600 + m * 60 + s))) AS BIGINT) AS INTEGER) END AS delay_seconds FROM joined""")
+SQL["t5_rejects"] = _FEED + """
+SELECT feed_key, CASE WHEN bad THEN 1 ELSE 0 END::BIGINT AS rejects, CASE WHEN bad THEN 0 ELSE n END::BIGINT AS entities FROM (
+  SELECT feed_key, CAST(split_part(feed_key, '/', 2) AS BIGINT) % 5 < 2 AS bad, count(*) AS n FROM ent GROUP BY feed_key)"""
+SQL["r4_backfill"] = with_bind(f"""
+, perday AS (
+  SELECT trip_id, stop_id, stop_sequence, strftime(ord[1], '%Y-%m-%d') AS feed_date,
+         max_by(struct_pack(actual_epoch := actual_epoch, time_source := time_source), ord) AS v
+  FROM timed GROUP BY ALL),
+x AS (
+  SELECT p.trip_id, p.stop_id, p.stop_sequence, p.feed_date, p.v.actual_epoch AS actual_epoch, p.v.time_source AS time_source,
+         {_HMS[0]} AS h, {_HMS[1]} AS m, {_HMS[2]} AS s
+  FROM perday p JOIN stop_times st USING (trip_id, stop_id, stop_sequence)),
+y AS (
+  SELECT *, CAST(epoch(timezone('{TZ}', CAST(CAST({_WALL} AS DATE) - CAST(CASE WHEN h >= 24 THEN 1 ELSE 0 END AS INTEGER)
+                                               AS TIMESTAMP)
+              + to_seconds(CAST(h AS BIGINT) * 3600 + m * 60 + s))) AS BIGINT) AS scheduled_epoch FROM x)
+SELECT trip_id, stop_id, stop_sequence, feed_date, scheduled_epoch, actual_epoch,
+       CAST(actual_epoch - scheduled_epoch AS INTEGER) AS delay_seconds, time_source FROM y""")
+
+# -------------------------------------------------- data with violations
+_BAD = """
+, f_routes AS (SELECT * FROM routes WHERE route_id % 10 <> 3), f_stops AS (SELECT * FROM stops WHERE stop_id % 10 <> 7),
+f_trips AS (SELECT route_id, CASE WHEN trip_id % 11 = 0 THEN '' ELSE service_id END AS service_id, trip_id, trip_headsign,
+                   CASE WHEN trip_id % 13 <> 0 THEN direction_id END AS direction_id FROM trips)
+"""
+
+
+def _fk_of(child, ccol, parent, pcol, csrc, psrc):
+    miss = (f"(SELECT DISTINCT {ccol} FROM {csrc} c WHERE NOT EXISTS "
+            f"(SELECT 1 FROM {psrc} p WHERE p.{pcol} = c.{ccol}))")
+    return (f"SELECT '{child}' AS \"table\", 'foreign_key' AS \"check\", '{ccol}->{parent}.{pcol}' AS \"column\", "
+            f"(SELECT count(*) FROM {miss}) AS violations, {_sample(miss, [ccol])} AS sample")
+
+
+SQL["q4_null_violations"] = with_bind_q(_BAD + _table_report("trips", "f_trips"))
+SQL["q5_absent_key"] = with_bind_q(f"""SELECT 'trips' AS "table", 'row_count' AS "check", NULL::VARCHAR AS "column",
+count(*) AS violations, {_NS} AS sample FROM trips UNION ALL
+SELECT 'trips', 'skipped', 'trip_id,service_id', NULL, {_NS}""")
+SQL["q8_integrity_violations"] = with_bind_q(_BAD + _fk_of("trips", "route_id", "routes", "route_id", "f_trips", "f_routes"))
+SQL["r5_link_violations"] = with_bind_q(_BAD + "\nUNION ALL\n".join([
+    _fk_of("trips", "route_id", "routes", "route_id", "f_trips", "f_routes"),
+    _fk_of("trips", "service_id", "calendar", "service_id", "f_trips", "calendar"),
+    _fk_of("stop_times", "trip_id", "trips", "trip_id", "stop_times", "f_trips"),
+    _fk_of("stop_times", "stop_id", "stops", "stop_id", "stop_times", "f_stops")]))
+SQL["j1_missing_routes"] = with_bind_q(_BAD + """
+SELECT DISTINCT route_id FROM f_trips t WHERE NOT EXISTS (SELECT 1 FROM f_routes r WHERE r.route_id = t.route_id)""")
+SQL["p2_empty_values"] = with_bind_q(_BAD + """
+SELECT count_if(service_id IS NULL OR service_id = '') AS empty_service_id, count_if(direction_id IS NULL) AS empty_direction_id
+FROM f_trips""")
+SQL["j4_unmatched_routes"] = with_bind_q(_BAD + """
+SELECT t.route_id, t.trip_id, r.route_short_name FROM f_trips t LEFT JOIN f_routes r ON t.route_id = r.route_id""")
+SQL["o3_sample_5"] = with_bind_q("SELECT " + _sample(
+    "(SELECT trip_id, stop_sequence FROM stop_times GROUP BY ALL HAVING count(*) > 1)", ["trip_id", "stop_sequence"]) + " AS sample")
+
+# ------------------------------------------- relationships and full feeds
+SQL["k1_resets"] = with_bind("""
+, u AS (
+  SELECT trip_id, stop_id, stop_sequence,
+         CASE WHEN stop_sequence % 4 <> 3 AND stop_sequence % 5 <> 2 THEN delay_seconds END AS v FROM trip_delays),
+p AS (
+  SELECT st.trip_id, st.stop_id, st.stop_sequence, u.v AS own_delay,
+         last(CASE WHEN u.trip_id IS NOT NULL THEN struct_pack(v := u.v) END IGNORE NULLS) OVER (
+           PARTITION BY st.trip_id ORDER BY st.stop_sequence, st.stop_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS e
+  FROM stop_times st LEFT JOIN u ON u.trip_id = st.trip_id AND u.stop_id = st.stop_id AND u.stop_sequence = st.stop_sequence)
+SELECT trip_id, stop_id, stop_sequence, own_delay, e.v AS predicted_delay,
+       CASE WHEN own_delay IS NOT NULL THEN 'own' WHEN e.v IS NOT NULL THEN 'propagated' END AS delay_source FROM p""")
+SQL["k1_resets_by_block"] = SQL["k1_resets"]
+SQL["k3_delay_only_event"] = with_bind(f"""{_K}, CASE WHEN stop_sequence % 3 = 0 THEN actual_epoch
+  WHEN stop_sequence % 3 = 1 THEN scheduled_epoch + stop_id % 600 END AS resolved FROM trip_delays""")
+SQL["k4_active_only"] = with_bind(f"""{_K}, arrival_epoch, departure_epoch FROM stop_updates
+WHERE stop_sequence % 4 <> 0 AND trip_id % 5 NOT IN (0, 1) AND stop_id % 7 <> 0""")
+_DEL = "CAST(entity_id AS BIGINT) % 3 = (feed_ts // 86400) % 3"
+SQL["k6_deleted"] = _FEED + f"""
+SELECT entity_id, f.feed_key AS feed_key, f.n_stops AS n_stops FROM (
+  SELECT entity_id, max_by(struct_pack(feed_key := feed_key, n_stops := n_stops, d := {_DEL}), row(feed_ts, entity_pos, feed_key)) AS f
+  FROM ent GROUP BY entity_id) WHERE NOT f.d"""
+SQL["k6_full_dataset"] = _FEED + f"""
+, one AS (SELECT entity_id, feed_ts, sum(n_stops)::BIGINT AS n_stops, bool_or({_DEL}) AS d FROM ent GROUP BY entity_id, feed_ts),
+s AS (SELECT max(feed_ts) AS start FROM one WHERE (feed_ts // 86400) % 100 = 0)
+SELECT entity_id, f.n_stops AS n_stops FROM (
+  SELECT entity_id, max_by(struct_pack(n_stops := n_stops, d := d), feed_ts) AS f FROM one, s
+  WHERE start IS NULL OR feed_ts >= start GROUP BY entity_id) WHERE NOT f.d"""

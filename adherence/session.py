@@ -39,14 +39,17 @@ def build_session(master: str = "local[*]", app: str = "adherence",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints, stream state and snapshots.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is
-    unset, as in local tests, a folder of our own is created and set."""
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Where it is unset,
+    a local master, as in tests, gets a folder of its own; any other master is
+    an error, since its executors would not see such a folder."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="adherence-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir().rstrip("/")
@@ -61,15 +64,6 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return "/".join([base, "adherence"] + tail)
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access (tests only)."""
-    if path.startswith("file:"):
-        path = path[len("file:"):]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def ship_package(spark: SparkSession) -> None:
     """Make the package importable in the Python workers (as ``--py-files``
     does): zip it once per SparkContext and ``addPyFile`` it."""

@@ -25,7 +25,7 @@ ENUMS = {
     "Incrementality": [("FULL_DATASET", 0), ("DIFFERENTIAL", 1)],
     "StopRelationship": [("SCHEDULED", 0), ("SKIPPED", 1), ("NO_DATA", 2), ("UNSCHEDULED", 3)],
     "TripRelationship": [("SCHEDULED", 0), ("ADDED", 1), ("UNSCHEDULED", 2), ("CANCELED", 3),
-                         ("REPLACEMENT", 5), ("DUPLICATED", 6), ("DELETED", 7)],
+                         ("REPLACEMENT", 5), ("DUPLICATED", 6), ("DELETED", 7), ("NEW", 8)],
     "VehicleStopStatus": [("INCOMING_AT", 0), ("STOPPED_AT", 1), ("IN_TRANSIT_TO", 2)],
 }
 MESSAGES = {
@@ -146,6 +146,24 @@ def to_dict(msg, mname: str) -> dict:
     return out
 
 
+def check_values(msg, mname: str) -> None:
+    """Raise where a field cannot be a Spark value: an unsigned 64-bit number
+    of 2^63 or more, or text that is not UTF-8."""
+    for fname, _, ftype, label in MESSAGES[mname]:
+        if label == "*":
+            if ftype in MESSAGES:
+                for item in getattr(msg, fname):
+                    check_values(item, ftype)
+        elif msg.HasField(fname):
+            v = getattr(msg, fname)
+            if ftype in MESSAGES:
+                check_values(v, ftype)
+            elif ftype == "uint64" and v >= 1 << 63:
+                raise ValueError(f"{mname}.{fname} is out of range: {v}")
+            elif ftype == "string":
+                (v.decode("utf-8") if isinstance(v, bytes) else v.encode("utf-8"))
+
+
 # ------------------------------------------------------------ decode
 FEED_META_DDL = ("header struct<gtfs_realtime_version: string, incrementality: string, timestamp: bigint>")
 
@@ -190,35 +208,54 @@ def decode(df: DataFrame, value_col: str = "value", root: str = "FeedMessage", l
             rows = []
             for i, raw in enumerate(values):
                 base = {c: cols[c][i] for c in keep}
-                try:
-                    if raw is None:
-                        raise ValueError("no value")
-                    msg = cls()
-                    msg.ParseFromString(bytes(raw))
-                except Exception as ex:  # noqa: BLE001 - a bad record becomes a reject row
-                    rows.append({**base, "decode_error": f"{type(ex).__name__}: {ex}"[:500]})
-                    continue
-                if root != "FeedMessage":
-                    rows.append({**base, "message": to_dict(msg, root), "decode_error": None})
-                    continue
-                header = to_dict(msg.header, "FeedHeader")
-                if level == "feed":
-                    rows.append({**base, "header": header,
-                                 "entity": [to_dict(e, "FeedEntity") for e in msg.entity],
-                                 "decode_error": None})
-                    continue
-                for pos, ent in enumerate(msg.entity):
-                    rows.append({**base, "header": header, "entity_pos": pos,
-                                 "entity": to_dict(ent, "FeedEntity"), "decode_error": None})
-                if len(rows) >= 8192:
-                    yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
-                    rows = []
+                for row in _record_rows(cls, raw, root, level):
+                    rows.append({**base, **row})
+                    if len(rows) >= 8192:
+                        yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
+                        rows = []
             if rows:
                 yield pa.RecordBatch.from_pylist(rows, schema=arrow_schema)
 
     return src.mapInArrow(run, out_ddl)
 
 
+def first_update(raw):
+    """The first trip update of a feed's bytes; None for a feed without one
+    and for bytes that do not decode."""
+    try:
+        feed = message_class("FeedMessage")()
+        feed.ParseFromString(bytes(raw))
+        found = next((e.trip_update for e in feed.entity if e.HasField("trip_update")), None)
+        if found is not None:
+            check_values(found, "TripUpdate")
+        return found
+    except Exception:  # noqa: BLE001 - a bad record has no update
+        return None
+
+
+def _record_rows(cls, raw, root: str, level: str) -> Iterator[dict]:
+    """The rows of one record. Everything that can fail is done before the
+    first row leaves, so a bad record gives one reject row and nothing else."""
+    try:
+        if raw is None:
+            raise ValueError("no value")
+        msg = cls()
+        msg.ParseFromString(bytes(raw))
+        check_values(msg, root)
+    except Exception as ex:  # noqa: BLE001 - a bad record becomes a reject row
+        yield {"decode_error": f"{type(ex).__name__}: {ex}"}
+        return
+    if root != "FeedMessage":
+        yield {"message": to_dict(msg, root), "decode_error": None}
+        return
+    header = to_dict(msg.header, "FeedHeader")
+    if level == "feed":
+        yield {"header": header, "entity": [to_dict(e, "FeedEntity") for e in msg.entity], "decode_error": None}
+        return
+    for pos, ent in enumerate(msg.entity):
+        yield {"header": header, "entity_pos": pos, "entity": to_dict(ent, "FeedEntity"), "decode_error": None}
+
+
 def _arrow_schema(ddl: str):
     """Arrow schema of a Spark DDL string, built on the driver (parsing DDL
     needs the JVM) and shipped to the workers inside the closure."""
@@ -265,7 +302,7 @@ ENCODE_INPUT = ("feed_key", "feed_ts", "trip_id", "route_id", "start_date", "tri
                 "stop_sequence", "arrival_time", "departure_time")
 
 
-def encode_feeds(rows: DataFrame, max_stops_per_entity: int = 500, partitions: int | None = None) -> DataFrame:
+def encode_feeds(rows: DataFrame, partitions: int | None = None) -> DataFrame:
     """Flat stop updates -> binary feeds (``value``) with ``feed_key``
     and ``feed_ts``.
 
@@ -273,9 +310,9 @@ def encode_feeds(rows: DataFrame, max_stops_per_entity: int = 500, partitions: i
     time), ``trip_id``, ``route_id``, ``start_date``, ``trip_delay``,
     ``stop_id``, ``stop_sequence``, ``arrival_time``, ``departure_time``
     (NULL = absent). Rows are hash-partitioned on the feed key and sorted,
-    so the encoder streams through them: one entity per run of a trip
-    (split every ``max_stops_per_entity`` stops), one feed per key. Only the
-    current entity is held in memory."""
+    so the encoder streams through them: one entity per trip, one feed per
+    key. The message of the current feed is held in memory, as a feed is one
+    record in the end."""
     df = rows.select(*[F.col(c) for c in ENCODE_INPUT])
     df = (df.repartition(partitions, "feed_key") if partitions else df.repartition("feed_key"))
     df = df.sortWithinPartitions("feed_key", "trip_id", "stop_sequence", "stop_id", "arrival_time",
@@ -286,7 +323,7 @@ def encode_feeds(rows: DataFrame, max_stops_per_entity: int = 500, partitions: i
         import pyarrow as pa
         cls = message_class("FeedMessage")
         out = {"feed_key": [], "feed_ts": [], "value": [], "n_entities": [], "n_stops": []}
-        state = {"key": None, "msg": None, "ts": None, "trip": None, "ent": None, "chunk": 0, "n": 0}
+        state = {"key": None, "msg": None, "ts": None, "trip": None, "ent": None, "n": 0}
 
         def flush_feed():
             if state["msg"] is not None:
@@ -295,7 +332,7 @@ def encode_feeds(rows: DataFrame, max_stops_per_entity: int = 500, partitions: i
                 out["value"].append(state["msg"].SerializeToString())
                 out["n_entities"].append(len(state["msg"].entity))
                 out["n_stops"].append(state["n"])
-            state.update(msg=None, trip=None, ent=None, chunk=0, n=0)
+            state.update(msg=None, trip=None, ent=None, n=0)
 
         for batch in batches:
             c = {k: batch.column(k).to_pylist() for k in ENCODE_INPUT}
@@ -311,11 +348,10 @@ def encode_feeds(rows: DataFrame, max_stops_per_entity: int = 500, partitions: i
                     state["msg"] = m
                 trip = c["trip_id"][i]
                 ent = state["ent"]
-                if trip != state["trip"] or ent is None or len(ent.trip_update.stop_time_update) >= max_stops_per_entity:
-                    state["chunk"] = state["chunk"] + 1 if trip == state["trip"] else 0
+                if trip != state["trip"] or ent is None:
                     state["trip"] = trip
                     ent = state["msg"].entity.add()
-                    ent.id = str(trip) if state["chunk"] == 0 else f"{trip}:{state['chunk']}"
+                    ent.id = str(trip)
                     td = ent.trip_update.trip
                     if trip is not None:
                         td.trip_id = str(trip)

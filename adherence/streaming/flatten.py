@@ -55,11 +55,16 @@ def first_trip(feeds: DataFrame) -> DataFrame:
     """P9 on feed-level rows: the FIRST entity with a trip update; a feed
     without one (or a reject) gives (NULL, NULL, 0) as the reference's UDF.
     A per-row expression, no shuffle."""
-    first = F.get(F.filter("entity", lambda e: e["trip_update"].isNotNull()), 0)
+    first = F.get(F.filter("entity", lambda e: e["trip_update"].isNotNull()), 0)["trip_update"]
     meta = [c for c in feeds.columns if c not in ("entity", "header", "decode_error")]
-    return feeds.select(*meta, first["trip_update"]["trip"]["trip_id"].alias("trip_id"),
-                        first["trip_update"]["trip"]["route_id"].alias("route_id"),
-                        delay_default(first["trip_update"]["delay"]).alias("delay"))
+    return feeds.select(*meta, *_trip_fields(first), delay_default(first["delay"]).alias("delay"))
+
+
+def _trip_fields(update: Column, *names: str) -> list[Column]:
+    """Text fields of an update's trip: '' when the trip lacks one, NULL only
+    when there is no update."""
+    return [F.when(update.isNotNull(), F.coalesce(update["trip"][n], F.lit(""))).alias(n)
+            for n in names or ("trip_id", "route_id")]
 
 
 def delay_default(c: Column) -> Column:
@@ -70,8 +75,7 @@ def delay_default(c: Column) -> Column:
 def trip_update_rows(decoded_trip_updates: DataFrame, with_time: bool = True) -> DataFrame:
     """P11 (+F9) on bare trip-update records: (trip_id, start_date, route_id,
     processing time)."""
-    m = F.col("message.trip")
-    cols = [m["trip_id"].alias("trip_id"), m["start_date"].alias("start_date"), m["route_id"].alias("route_id")]
+    cols = _trip_fields(F.col("message"), "trip_id", "start_date", "route_id")
     if with_time:
         cols.append(F.current_timestamp().alias("timestamp"))
     return decoded_trip_updates.filter(F.col("decode_error").isNull()).select(*cols)
@@ -90,6 +94,12 @@ def vehicle_positions(decoded: DataFrame, keep: Sequence[str] = ()) -> DataFrame
         v["stop_id"].alias("stop_id"), v["timestamp"].alias("vehicle_ts"))
 
 
+def latest_vehicles(positions: DataFrame, order: Sequence[str] = ("feed_ts", "entity_pos")) -> DataFrame:
+    """The last position of every vehicle."""
+    from adherence.operators.latest import latest_per_key
+    return latest_per_key(positions, ["vehicle_id"], [c for c in positions.columns if c != "vehicle_id"], list(order))
+
+
 def active_only(stops: DataFrame) -> DataFrame:
     """K4: drop skipped stops, cancelled or deleted trips, deleted entities."""
     return stops.filter(
@@ -108,27 +118,10 @@ def first_trip_udf():
     update -> (NULL, NULL, 0)."""
     @F.pandas_udf(FIRST_TRIP_DDL)
     def parse_first_trip(values: pd.Series) -> pd.DataFrame:
-        from adherence.streaming.feed import message_class
-        cls = message_class("FeedMessage")
-        trip_ids, route_ids, delays = [], [], []
-        for raw in values:
-            t, r, d = None, None, 0
-            try:
-                m = cls()
-                m.ParseFromString(bytes(raw))
-                for e in m.entity:
-                    if e.HasField("trip_update"):
-                        tr = e.trip_update.trip
-                        t = tr.trip_id if tr.HasField("trip_id") else None
-                        r = tr.route_id if tr.HasField("route_id") else None
-                        d = e.trip_update.delay if e.trip_update.HasField("delay") else 0
-                        break
-            except Exception:  # noqa: BLE001 - the reference's UDF returns (None, None, 0)
-                t, r, d = None, None, 0
-            trip_ids.append(t)
-            route_ids.append(r)
-            delays.append(d)
-        return pd.DataFrame({"trip_id": trip_ids, "route_id": route_ids, "delay": delays})
+        from adherence.streaming.feed import first_update
+        rows = [(None, None, 0) if u is None else (u.trip.trip_id, u.trip.route_id, u.delay)
+                for u in map(first_update, values)]
+        return pd.DataFrame(rows, columns=["trip_id", "route_id", "delay"])
 
     return parse_first_trip
 

@@ -1,95 +1,90 @@
 """Keyed fact table with an idempotent upsert per micro-batch (S10, S11,
 T1, T4), and append sinks (S12, S13).
 
-Layout: parquet partitioned by ``bucket = pmod(xxhash64(bucket key), n)``.
-A micro-batch rewrites only the buckets it touches: the touched bucket ids
-(at most ``n`` values, a proven bound) select the old rows by partition
-pruning, ``latest_per_key`` merges old and new rows by their arrival order,
-the result is checkpointed into the shared checkpoint folder (lineage cut,
-survives lost executors) and written with dynamic partition overwrite. A
-marker ``_commits/<batch_id>`` is written last; a replayed batch id is
-skipped, and a batch that failed half-way is simply redone: merging the same
-rows twice gives the same table.
-"""
+Layout: a base version ``base=<n>`` and small change folders ``delta/batch=<id>``.
+A micro-batch only writes its own changes, reduced to the last per key, into
+its own folder, and then moves one pointer file (``_STATE``: base version, first
+and last change folder that count). Readers merge base and changes with
+``latest_per_key``; rows that a batch does not touch are neither read nor
+rewritten by it. After ``compact_every`` batches the merge is written as a new
+base version, and the pointer moves again; the old base stays until then, so a
+crash at any point leaves the last committed table as it was, and a replayed
+batch overwrites its own unfinished folder."""
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, StructType
+from pyspark.sql.types import StructType
 
 from adherence.operators.latest import latest_per_key
-from adherence.sources.tables import _fs
+from adherence.sources.tables import _read_text, _write_text
 
 
 class FactTable:
     def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str],
-                 order_col: str = "arrival_order", bucket_key: str | None = None, n_buckets: int = 64):
+                 order_col: str = "arrival_order", compact_every: int = 50):
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
-        self.keys, self.order_col = list(keys), order_col
-        self.bucket_key = bucket_key or self.keys[0]
-        self.n_buckets = n_buckets
+        self.keys, self.order_col, self.compact_every = list(keys), order_col, compact_every
 
     # ---------------------------------------------------------------- S10
-    def ensure(self) -> None:
-        fs, p, _ = _fs(self.spark, self.path + "/_commits")
-        if not fs.exists(p):
-            fs.mkdirs(p)
+    def _state(self) -> dict:
+        """``base``: live base version or -1; ``deltas``: batch ids whose
+        changes lie on top of it (at most ``compact_every``); ``last``: the
+        last committed batch."""
+        text = _read_text(self.spark, f"{self.path}/_STATE")
+        return json.loads(text) if text else {"base": -1, "deltas": [], "last": -1}
 
-    def _read_bucketed(self) -> DataFrame:
-        """All columns plus the ``bucket`` partition column."""
-        self.ensure()
-        full = StructType(list(self.schema.fields)).add("bucket", IntegerType())
-        return self.spark.read.schema(full).parquet(self.path)
+    def ensure(self) -> None:
+        if _read_text(self.spark, f"{self.path}/_STATE") is None:
+            _write_text(self.spark, f"{self.path}/_STATE", json.dumps({"base": -1, "deltas": [], "last": -1}))
+
+    def _merged(self, state: dict) -> DataFrame:
+        """All committed rows, the last per key, with the order column."""
+        paths = [f"{self.path}/base={state['base']}"] if state["base"] >= 0 else []
+        paths += [f"{self.path}/delta/batch={b}" for b in state["deltas"]]
+        if not paths:
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(*paths)
+        if len(paths) == 1:
+            return rows
+        values = [f.name for f in self.schema.fields if f.name not in self.keys]
+        return latest_per_key(rows, self.keys, values, self.order_col).select(*[f.name for f in self.schema.fields])
 
     def read(self, with_order: bool = False) -> DataFrame:
-        """Current rows (without the bucket and, by default, the order)."""
-        df = self._read_bucketed()
-        drop = ["bucket"] + ([] if with_order else [self.order_col])
-        return df.drop(*[c for c in drop if c in df.columns])
+        """Current rows (by default without the order)."""
+        df = self._merged(self._state())
+        return df if with_order else df.drop(self.order_col)
 
     def last_batch(self) -> int:
-        fs, p, _ = _fs(self.spark, self.path + "/_commits")
-        if not fs.exists(p):
-            return -1
-        ids = [int(s.getPath().getName()) for s in fs.listStatus(p) if s.getPath().getName().isdigit()]
-        return max(ids) if ids else -1
-
-    def _commit(self, batch_id: int) -> None:
-        fs, _, jvm = _fs(self.spark, self.path)
-        out = fs.create(jvm.org.apache.hadoop.fs.Path(f"{self.path}/_commits/{batch_id}"), True)
-        out.close()
+        return self._state()["last"]
 
     # ---------------------------------------------------------------- S11
-    def bucket_of(self, df: DataFrame) -> DataFrame:
-        return df.withColumn("bucket", F.pmod(F.xxhash64(F.col(self.bucket_key)), F.lit(self.n_buckets))
-                             .cast("int"))
-
     def upsert(self, changes: DataFrame, batch_id: int) -> bool:
         """Merge ``changes`` (schema of the table incl. the order column) as
         micro-batch ``batch_id``; returns False for a replayed batch."""
-        self.ensure()
-        if batch_id <= self.last_batch():
+        state = self._state()
+        if batch_id <= state["last"]:
             return False
-        values = [f.name for f in self.schema.fields if f.name not in self.keys]
-        new = self.bucket_of(changes.select(*[f.name for f in self.schema.fields]))
-        # The touched bucket ids: at most n_buckets small integers, a proven
-        # bound, so they come to the driver and become a static partition
-        # filter: only touched buckets are listed and read.
-        touched = sorted(r[0] for r in new.select("bucket").distinct().collect())
-        if not touched:
-            self._commit(batch_id)
-            return True
-        old = self._read_bucketed().filter(F.col("bucket").isin(touched))
-        merged = latest_per_key(old.unionByName(new), self.keys, values, self.order_col)
-        merged = self.bucket_of(merged).repartition("bucket").checkpoint(eager=True)
-        (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-               .partitionBy("bucket").parquet(self.path))
-        self._commit(batch_id)
+        names = [f.name for f in self.schema.fields]
+        values = [n for n in names if n not in self.keys]
+        last = latest_per_key(changes.select(*names), self.keys, values, self.order_col)
+        last.select(*names).write.mode("overwrite").parquet(f"{self.path}/delta/batch={batch_id}")
+        state = {"base": state["base"], "deltas": [*state["deltas"], batch_id], "last": batch_id}
+        _write_text(self.spark, f"{self.path}/_STATE", json.dumps(state))
+        if len(state["deltas"]) >= self.compact_every:
+            self.compact()
         return True
 
+    def compact(self) -> None:
+        """Write the merge of base and changes as the next base version."""
+        state = self._state()
+        version = state["base"] + 1
+        self._merged(state).write.mode("overwrite").parquet(f"{self.path}/base={version}")
+        _write_text(self.spark, f"{self.path}/_STATE", json.dumps({"base": version, "deltas": [], "last": state["last"]}))
+
 
 def append(df: DataFrame, path: str, batch_id: int | None = None, fmt: str = "parquet") -> None:
     """Append rows (all-NULL rows too). In ``foreachBatch`` pass

@@ -74,15 +74,81 @@ def test_delay_only_event(spark):
     assert [r.actual_epoch for r in resolve_event_time(df, "t", "d").collect()] == [1030, 1100]
 
 
-def test_encoder_roundtrip_bounded_entities(spark):
+def test_encoder_keeps_one_entity_per_trip(spark):
     rows = spark.createDataFrame(
-        [("k", 10, 7, "R", "20250701", None, 100 + i, i, 1000 + i, None) for i in range(7)],
+        [("k", 10, 7, "R", "20250701", None, 100 + i, i, 1000 + i, None) for i in range(1200)],
         "feed_key string, feed_ts long, trip_id long, route_id string, start_date string, trip_delay int, "
         "stop_id long, stop_sequence int, arrival_time long, departure_time long")
-    enc = FD.encode_feeds(rows, max_stops_per_entity=3, partitions=2)
+    enc = FD.encode_feeds(rows, partitions=2)
     r = enc.first()
-    assert (r.n_entities, r.n_stops) == (3, 7)
+    assert (r.n_entities, r.n_stops) == (1, 1200)
     good, _ = FD.split_rejects(FD.decode(enc.select("value")))
-    ids = sorted(x.entity.id for x in good.collect())
-    assert ids == ["7", "7:1", "7:2"]
-    assert F is not None
+    assert [(x.entity.id, len(x.entity.trip_update.stop_time_update)) for x in good.collect()] == [("7", 1200)]
+
+
+def _bytes(*fields):
+    """A message written by hand from its wire format: (number, value) with an
+    int as varint and bytes as a length-delimited field."""
+    def varint(n):
+        out = b""
+        while n > 127:
+            out += bytes([n & 127 | 128])
+            n >>= 7
+        return out + bytes([n])
+    out = b""
+    for number, v in fields:
+        out += varint(number << 3 | (0 if isinstance(v, int) else 2))
+        out += varint(v) if isinstance(v, int) else varint(len(v)) + v
+    return out
+
+
+HEADER = _bytes((1, b"2.0"), (2, 1), (3, 1_700_000_000))
+TRIP = _bytes((1, b"T1"), (3, b"20250701"), (4, 8), (5, b"R9"))
+STOP = _bytes((1, 4), (2, _bytes((1, 60), (2, 1_700_000_100))), (4, b"S5"), (5, 2))
+UPDATE = _bytes((1, TRIP), (2, STOP), (5, 30))
+GOLDEN = _bytes((1, HEADER), (2, _bytes((1, b"e1"), (2, 0), (3, UPDATE))), (2, _bytes((1, b"e2"), (2, 1))))
+
+
+def test_hand_written_bytes(spark):
+    df = spark.createDataFrame([(bytearray(GOLDEN),)], "value binary")
+    rows = FD.decode(df).collect()
+    assert [r.decode_error for r in rows] == [None, None]
+    h, u = rows[0].header, rows[0].entity.trip_update
+    assert (h.gtfs_realtime_version, h.incrementality, h.timestamp) == ("2.0", "DIFFERENTIAL", 1_700_000_000)
+    assert (u.trip.trip_id, u.trip.start_date, u.trip.schedule_relationship, u.trip.route_id, u.delay) == (
+        "T1", "20250701", "NEW", "R9", 30)
+    s = u.stop_time_update[0]
+    assert (s.stop_sequence, s.arrival.delay, s.arrival.time, s.stop_id, s.schedule_relationship, s.departure) == (
+        4, 60, 1_700_000_100, "S5", "NO_DATA", None)
+    assert (rows[1].entity.id, rows[1].entity.is_deleted, rows[1].entity.trip_update) == ("e2", True, None)
+
+
+def test_every_bad_value_is_one_reject(spark):
+    late = _bytes((1, _bytes((1, b"2.0"), (3, 1 << 63))), (2, _bytes((1, b"e"), (3, UPDATE))))
+    text = _bytes((1, HEADER), (2, _bytes((1, b"ok"), (3, UPDATE))), (2, _bytes((1, b"e"), (3, _bytes((1, _bytes((1, b"\xff\xfe"))))))))
+    df = spark.createDataFrame([(1, bytearray(late)), (2, bytearray(text)), (3, None), (4, bytearray(b"\x0a\xff")),
+                                (5, bytearray(GOLDEN))], "n int, value binary")
+    good, bad = FD.split_rejects(FD.decode(df))
+    assert sorted(r.n for r in bad.collect()) == [1, 2, 3, 4]
+    assert sorted(r.n for r in good.collect()) == [5, 5]
+    assert all(r.decode_error for r in bad.collect())
+
+
+def test_absent_ids_are_empty_and_no_update_is_null(spark):
+    bare = _bytes((1, HEADER), (2, _bytes((1, b"e"), (3, _bytes((1, b""))))))
+    none = _bytes((1, HEADER), (2, _bytes((1, b"e"))))
+    df = spark.createDataFrame([(1, bytearray(bare)), (2, bytearray(none)), (3, bytearray(b"x"))], "n int, value binary")
+    want = [(1, "", "", 0), (2, None, None, 0), (3, None, None, 0)]
+    assert sorted(map(tuple, FL.first_trip(FD.decode(df, keep=["n"], level="feed")).collect())) == want
+    udf = df.select("n", FL.first_trip_udf()("value").alias("p")).select("n", "p.*")
+    assert sorted(map(tuple, udf.collect())) == want
+
+
+def test_latest_vehicle(spark):
+    def feed(ts, vid, lat):
+        pos = {"latitude": lat, "longitude": 2.0}
+        return bytearray(FD.encode_message({"header": {"gtfs_realtime_version": "2.0", "timestamp": ts}, "entity": [
+            {"id": "v", "vehicle": {"vehicle": {"id": vid}, "position": pos}}]}))
+    df = spark.createDataFrame([(feed(5, "a", 1.0),), (feed(9, "a", 3.0),), (feed(7, "a", 2.0),), (feed(1, "b", 4.0),)], "value binary")
+    got = FL.latest_vehicles(FL.vehicle_positions(FD.decode(df))).collect()
+    assert sorted((r.vehicle_id, r.latitude) for r in got) == [("a", 3.0), ("b", 4.0)]

@@ -94,9 +94,9 @@ def test_load_static_checks_all_then_publishes(spark, local_tmp, tmp):
     assert current_version(spark, f"{out2}/dim_routes") is None    # nothing published
 
 
-def test_schema_export_roundtrip(local_tmp):
-    SC.export_schemas(local_tmp)
+def test_schema_export_roundtrip(spark, local_tmp):
+    SC.export_schemas(spark, local_tmp)
     for name in SC.TABLE_ORDER:
-        assert SC.load_schema(name, local_tmp) == SC.STATIC_SCHEMAS[name]
+        assert SC.load_schema(name, spark, local_tmp) == SC.STATIC_SCHEMAS[name]
     with pytest.raises(FileNotFoundError):
-        SC.load_schema("routes", os.path.join(local_tmp, "missing"))
+        SC.load_schema("routes", spark, os.path.join(local_tmp, "missing"))
