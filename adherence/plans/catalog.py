@@ -458,6 +458,19 @@ def r1_delay_hotspots(spark, sf_dir):
     return AN.hotspots(S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir)))
 
 
+@query("r1_cube")
+def r1_cube(spark, sf_dir):
+    """Every combination of route, stop, hour and weekday, in one aggregate."""
+    rows = S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+    return AN.hotspots(rows, sets=AN.CUBE_SETS)
+
+
+@query("r1_top_hotspots")
+def r1_top_hotspots(spark, sf_dir):
+    """The ten most delay-prone stops with five or more facts."""
+    return AN.top_hotspots(r1_delay_hotspots(spark, sf_dir), level=11, k=10, min_n=5)
+
+
 def history(spark, sf_dir) -> DataFrame:
     t = B.trips(spark, sf_dir).select("trip_id", "route_id")
     return AN.delay_history(B.stop_updates(spark, sf_dir, with_order=False), B.stop_times_raw(spark, sf_dir)) \

@@ -304,6 +304,10 @@ SELECT route_id, stop_id, CAST(hour AS INTEGER) AS hour, CAST(weekday AS INTEGER
        count(*) AS n, round(avg(delay_seconds), 3) AS avg_delay, count_if(delay_seconds > 0) AS n_late,
        round(count_if(delay_seconds > 0) / count(*), 4) AS late_share, max(delay_seconds) AS max_delay
 FROM e GROUP BY GROUPING SETS ((route_id), (stop_id), (hour), (weekday), (route_id, hour), ())""")
+_SETS = "GROUP BY GROUPING SETS ((route_id), (stop_id), (hour), (weekday), (route_id, hour), ())"
+SQL["r1_cube"] = SQL["r1_delay_hotspots"].replace(_SETS, "GROUP BY CUBE (route_id, stop_id, hour, weekday)")
+SQL["r1_top_hotspots"] = f"""SELECT * FROM ({SQL["r1_delay_hotspots"]}) WHERE level = 11 AND n >= 5
+ORDER BY late_share DESC, avg_delay DESC, route_id, stop_id, hour, weekday LIMIT 10"""
 SQL["r2_delay_now"] = with_bind(f"""
 , hist AS (
   SELECT s.trip_id, s.actual_epoch, t.route_id,
