@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from adherence.session import ensure_checkpoint_dir
 
@@ -61,10 +60,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def empty(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def salted_join(rows: DataFrame, small: DataFrame, key: str, spread: str | list[str], how: str = "inner",
                 salts: int = 32) -> DataFrame:
     """``rows`` joined with ``small`` (one row per ``key``) where one key may

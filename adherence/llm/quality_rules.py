@@ -120,8 +120,8 @@ def with_metrics(docs: DataFrame, text_col: str = "text", prefix: str = "") -> D
     }).drop(caps)
 
 
-def _cell(v: Column, name: str) -> Column:
-    """Start of the sketch cell of a non-negative integer."""
+def _cell(name: str) -> Column:
+    """Start of the sketch cell of a column of non-negative integers."""
     return F.expr(f"CASE WHEN `{name}` < {2 ** SKETCH_BITS} THEN `{name}` ELSE shiftleft(shiftright(`{name}`, "
                   f"length(bin(`{name}`)) - {SKETCH_BITS}), length(bin(`{name}`)) - {SKETCH_BITS}) END")
 
@@ -130,7 +130,7 @@ def sketches(metrics: DataFrame, lang: str = "lang", source: str = "source", pre
     """Cells (level, lang, source, metric, cell, n) of the texts that pass
     the base rules; levels 0 group, 1 language, 2 all."""
     pairs = F.explode(F.array(*[F.struct(F.lit(m).alias("metric"),
-                                         _cell(F.col(prefix + m), prefix + m).alias("cell")) for m in METRICS]))
+                                         _cell(prefix + m).alias("cell")) for m in METRICS]))
     cells = (metrics.filter(~F.col(prefix + "base_failed"))
                     .select(F.col(lang).alias("lang"), F.col(source).alias("source"), pairs.alias("c"))
                     .groupBy("lang", "source", "c.metric", "c.cell").agg(F.count("*").alias("n")))
