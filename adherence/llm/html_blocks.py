@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adherence.llm.common import table
+from adherence.llm.labelled import first_by_hash
 
 SAMPLE_PAGES, MADE_PAGES = 300, 1200
 MAX_FIT_CHARS = 50_000  # longer pages are not fitted on
@@ -448,9 +449,13 @@ def made_page(rnd: random.Random, words: list[str]) -> tuple[list[Block], list[i
 
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES, made_pages: int = MADE_PAGES, epochs: int = EPOCHS) -> dict:
     """The model, from a bounded sample of the pages (first in hash order)."""
-    rows = (pages.select(F.col("html").cast("string").alias("html"))
-                 .filter(F.col("html").isNotNull() & (F.char_length("html") <= MAX_FIT_CHARS))
-                 .orderBy(F.xxhash64("html"), "html").limit(sample_pages).collect())
+    short = (pages.select(F.col("html").cast("string").alias("html"))
+                  .filter(F.col("html").isNotNull() & (F.char_length("html") <= MAX_FIT_CHARS))
+                  .withColumn("h", F.xxhash64("html")))
+    n = short.select("h").count()
+    cut = first_by_hash(short.select("h").distinct(), "h", sample_pages, n).agg(F.max("h")).first()[0]
+    rows = (short.filter(F.col("h") <= F.lit(-(1 << 63) if cut is None else cut))
+                 .groupBy("h").agg(F.min("html").alias("html")).orderBy("h").limit(sample_pages).collect())
     real = [blocks_of(r["html"]) for r in rows]
     words = sorted({w for p in real for b in p for w in b.text.split()[:200]})
     if len(words) < 50:

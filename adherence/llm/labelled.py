@@ -11,6 +11,15 @@ from adherence.llm.common import fold
 FOLDS = 5
 
 
+def first_by_hash(rows: DataFrame, h: str, k: int, n: int) -> DataFrame:
+    """The ``k`` rows of ``rows`` (about ``n``) with the smallest hash ``h``. A cut
+    on the hash leaves some 2 k candidates before the sort, so what the sort
+    gathers does not grow with the number of tasks."""
+    share = min(1.0, (2 * k + 1000) / max(n, 1))
+    cut = min(int(share * 2.0 ** 64) - (1 << 63), (1 << 63) - 1)
+    return rows.filter(F.col(h) <= F.lit(cut)).orderBy(h).limit(k)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, folds: int = FOLDS) -> DataFrame:
     """(doc_id, text, y, part) of up to ``per_class`` documents of each label,
     the first in hash order, none of the held-out fold; ``part`` is 0 or 1.
@@ -21,7 +30,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
                    .filter(F.col("y").isin(0, 1) & (fold(F.col("doc_id"), folds) != 0))
                    .groupBy("doc_id").agg(F.max("y").alias("y")))
-    picked = [known.filter(F.col("y") == y).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(per_class) for y in (0, 1)]
+    known = known.withColumn("h", F.xxhash64("doc_id", F.lit(11)))
+    sizes = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count("*").alias("n")).collect()}  # two rows
+    picked = [first_by_hash(known.filter(F.col("y") == y), "h", per_class, sizes.get(y, 0)).drop("h") for y in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return (rows.filter(F.col("text").isNotNull()).join(ids, "doc_id")
