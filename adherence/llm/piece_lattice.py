@@ -312,22 +312,30 @@ def uniform(keys: np.ndarray, step: int) -> np.ndarray:
 _WORKERS: dict = {}  # lattices live as long as the Python worker
 
 
-def _lattices(shared, sharpness: float) -> Lattices:
-    key = (shared.id if hasattr(shared, "id") else id(shared), sharpness)
+def _lattices(shared, model: str, sharpness: float) -> Lattices:
+    key = (model, sharpness)
     if key not in _WORKERS:
         _WORKERS.clear()
         _WORKERS[key] = Lattices(shared.value, sharpness)
     return _WORKERS[key]
 
 
+def _shared_pieces(spark: SparkSession, model: str):
+    """The broadcast pieces of a model file, one per application."""
+    known = spark.sparkContext.__dict__.setdefault("_piece_models", {})
+    if model not in known:
+        known[model] = spark.sparkContext.broadcast(read_pieces(model))  # fixed size
+    return known[model]
+
+
 def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col: str = "text",
            sharpness: float = SHARPNESS) -> DataFrame:
     """(doc_id, ids, n_tokens, lossless): sampled piece ids of every text;
     ``lossless`` says whether decoding gave the text back."""
-    shared = docs.sparkSession.sparkContext.broadcast(read_pieces(model))  # fixed size
+    shared = _shared_pieces(docs.sparkSession, model)
 
     def run(batches):
-        lat = _lattices(shared, sharpness)
+        lat = _lattices(shared, model, sharpness)
         for batch in batches:
             at = 0
             texts = batch.column(1)
@@ -360,10 +368,10 @@ def encode(docs: DataFrame, model: str = MODEL, id_col: str = "doc_id", text_col
 
 def decode(encoded: DataFrame, model: str = MODEL, ids_col: str = "ids") -> DataFrame:
     """``doc_id`` and ``text`` of encoded rows."""
-    shared = encoded.sparkSession.sparkContext.broadcast(read_pieces(model)["out"])
+    shared = _shared_pieces(encoded.sparkSession, model)
 
     def run(batches):
-        out = shared.value
+        out = shared.value["out"]
         for b in batches:
             texts = [None if x is None else b"".join(out[i] for i in x)[1:].decode("utf-8", "replace")
                      for x in b.column(1).to_pylist()]
