@@ -43,16 +43,18 @@ def _number(text: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
 
 
-def chunk_starts(lines: Column) -> Column:
+def _facts(lines: Column) -> Column:
+    """Hash and number of words of every line."""
+    return F.transform(lines, lambda x: F.struct(_number(x).alias("h"), _n_words(x).alias("w")))
+
+
+def _starts(facts: Column) -> Column:
     """Indexes (from 0) of the lines that begin a chunk."""
-    def marks(a):
-        hashed = F.transform(a, lambda x: F.struct(_number(x).alias("h"), _n_words(x).alias("w")))
-        return let(hashed, lambda h: F.filter(
-            F.sequence(F.lit(0), F.size(h) - 1),
-            lambda i: (i == 0) | (F.get(h, i)["w"] > PASSAGE_WORDS) | (F.get(h, i - 1)["w"] > PASSAGE_WORDS)
-            | ((F.get(h, i - 1)["h"] * 31
-                + F.when(i > 1, F.get(h, F.greatest(i - 2, F.lit(0)))["h"]).otherwise(0)) % EVERY == 0)))
-    return let(lines, marks)
+    return F.filter(
+        F.sequence(F.lit(0), F.size(facts) - 1),
+        lambda i: (i == 0) | (F.get(facts, i)["w"] > PASSAGE_WORDS) | (F.get(facts, i - 1)["w"] > PASSAGE_WORDS)
+        | ((F.get(facts, i - 1)["h"] * 31
+            + F.when(i > 1, F.get(facts, F.greatest(i - 2, F.lit(0)))["h"]).otherwise(0)) % EVERY == 0))
 
 
 def _n_words(line: Column) -> Column:
@@ -63,15 +65,14 @@ def _n_words(line: Column) -> Column:
 def chunks_of(text: Column) -> Column:
     """array<struct<lines, words, body>> of a text; joining the bodies by
     ``\\n`` gives the text back."""
-    lines = F.split(text, "\n")
-
     def cut(a):
-        return let(chunk_starts(a), lambda s: F.transform(s, lambda b, k: _chunk(
-            F.slice(a, b + 1, F.coalesce(F.get(s, k + 1), F.size(a)) - b))))
+        return let(_facts(a), lambda f: let(_starts(f), lambda s: F.transform(s, lambda b, k: chunk(
+            a, f, b + 1, F.coalesce(F.get(s, k + 1), F.size(a)) - b))))
 
-    def _chunk(part):
-        return F.struct(F.size(part).alias("lines"), F.array_join(part, "\n").alias("body"))
-    return let(lines, cut)
+    def chunk(a, f, at, n):
+        words = F.aggregate(F.slice(f, at, n), F.lit(0), lambda acc, x: acc + x["w"])
+        return F.struct(n.alias("lines"), words.alias("words"), F.array_join(F.slice(a, at, n), "\n").alias("body"))
+    return let(F.split(text, "\n"), cut)
 
 
 def _row_key(id_col: str, text: Column) -> list[Column]:
@@ -93,9 +94,7 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(id, md5, drop): positions of the chunks to remove from each text."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(*_row_key(id_col, text), F.posexplode(chunks_of(text)).alias("pos", "c"))
-    words = _n_words(F.col("c.body"))
-    rows = (rows.select("id", "md5", "pos", F.col("c.lines").alias("lines"), F.col("c.body").alias("body"),
-                        words.alias("words"))
+    rows = (rows.select("id", "md5", "pos", "c.lines", "c.body", "c.words")
                 .filter((F.col("words") >= MIN_WORDS) & ((F.col("lines") > 1) | (F.col("words") > PASSAGE_WORDS)))
                 .withColumn("hash", chunk_hash(F.col("body"))))
     rows = rows.withColumn("place", _place())
