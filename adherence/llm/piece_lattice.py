@@ -3,7 +3,8 @@
 Every way to cut a text into pieces of a SentencePiece vocabulary is a path
 through a lattice. Forward filtering sums the path weights up to each place;
 backward sampling then draws the last piece, the one before it, and so on, so
-a path comes with exactly its share of the weight. Draws are numbers of a
+a path comes with exactly its share of the weight. The sums are logarithms, so
+a run of characters without a piece, of any length, underflows nowhere. Draws are numbers of a
 counter generator (row key, chunk, step): the same row gives the same pieces
 in any partition, order or retry.
 
@@ -134,8 +135,8 @@ class Lattices:
         self.rare_to = np.array([t for _, t in rare] + [0], np.int32)
         self.node_id, self.node_w = np.full(len(tree), -1, np.int32), np.zeros(len(tree))
         self.node_id[list(ids)] = list(ids.values())
-        self.node_w[list(logw)] = np.exp(list(logw.values()))
-        self.byte_w = math.exp(-sharpness * math.log(len(pieces["out"]) + ZIPF_SHIFT))
+        self.node_w[list(logw)] = list(logw.values())
+        self.byte_w = -sharpness * math.log(len(pieces["out"]) + ZIPF_SHIFT)
         self.forget()
 
     def forget(self) -> None:
@@ -178,7 +179,7 @@ class Lattices:
         code = np.zeros((n, wide + deep), np.int32)
         code[:, :wide][inside] = self.code[raw]
         flat, stride = code.reshape(-1), wide + deep
-        weight = np.zeros((n, wide + 1, deep))
+        weight = np.full((n, wide + 1, deep), -np.inf)  # logarithms, then probabilities
         ident = np.zeros((n, wide + 1, deep), np.int32)
         row, place = np.nonzero(inside)
         state = np.ones(len(row), np.int32)
@@ -190,7 +191,7 @@ class Lattices:
                 if alone.any():  # the bytes of a character without a piece
                     r, c = row[alone], place[alone]
                     ch = text[r, c]
-                    weight[r, c + 1, 0] = self.byte_w ** (1 + (ch > 0x7F) + (ch > 0x7FF) + (ch > 0xFFFF)) * math.exp(_SCALE)
+                    weight[r, c + 1, 0] = self.byte_w * (1 + (ch > 0x7F) + (ch > 0x7FF) + (ch > 0xFFFF)) + _SCALE
                     ident[r, c + 1, 0] = -1 - ch
             row, place, state = row[on], place[on], state[on]
             if not len(row):
@@ -198,18 +199,23 @@ class Lattices:
             known = self.node_id[state] >= 0
             r, c, s = row[known], place[known] + d + 1, state[known]
             weight[r, c, d], ident[r, c, d] = self.node_w[s], self.node_id[s]
-        alpha = np.zeros((n, wide + deep + 1))  # shifted by deep - 1 places
-        alpha[:, deep - 1] = 1.0
+        alpha = np.full((n, wide + deep), -np.inf)  # logarithms, shifted by deep - 1 places
+        alpha[:, deep - 1] = 0.0
+        ended = np.searchsorted(sizes, np.arange(wide + 1)).tolist()  # chunks come by length
         for j in range(1, wide + 1):
-            before = alpha[:, j - 1:j - 1 + deep]
-            p = weight[:, j] * before[:, ::-1]
-            total = p.sum(axis=1)
-            safe = np.where(total > 0, total, 1.0)
-            weight[:, j] = p / safe[:, None]
-            alpha[:, j + deep - 1] = total
-            if not j % 16:  # only ratios within the window matter
-                now = alpha[:, j:j + deep]
-                now /= np.maximum(now.max(axis=1), 1e-300)[:, None]
+            k = ended[j]
+            p = weight[k:, j] + alpha[k:, j - 1:j - 1 + deep][:, ::-1]
+            if n - k < 64:  # fewer calls
+                alpha[k:, j + deep - 1] = np.logaddexp.reduce(p, axis=1)
+                continue
+            top = p.max(axis=1)
+            p -= top[:, None]
+            alpha[k:, j + deep - 1] = top + np.log(np.exp(p, out=p).sum(axis=1))
+        here = alpha[:, deep - 1:]
+        here[np.isneginf(here)] = 0.0  # beyond the end, where there are no edges
+        for d in range(deep):
+            weight[:, 1:, d] += alpha[:, deep - 1 - d:deep - 1 - d + wide] - here[:, 1:]
+        np.exp(weight, out=weight)
         # Long pieces, mostly the likelier ones, come first at a node.
         row, place, d = np.nonzero(weight[:, :, ::-1])
         d = deep - 1 - d
@@ -218,6 +224,9 @@ class Lattices:
         prob = weight[row, place, d]
         nodes = int(base[-1] + sizes[-1] + 1)
         per = np.bincount(node, minlength=nodes)
+        inner = np.ones(nodes, bool)
+        inner[base] = False
+        assert per[inner].all(), "a place of a chunk has no edge"
         start = np.cumsum(per) - per
         upto = np.cumsum(prob)
         cum = upto - (upto - prob)[start[node]]

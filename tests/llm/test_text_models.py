@@ -80,6 +80,20 @@ def test_long_runs_and_memo(lattices):
         assert x.tolist() == y.tolist() and lattices.decode(x.tolist()).decode() == t
 
 
+@pytest.mark.parametrize("sharpness", [1.0, 4.0])
+@pytest.mark.parametrize("times", [30, 3000])
+def test_runs_without_pieces(times, sharpness):
+    pieces = piece_lattice.read_pieces()
+    known = {c for p, _, _ in pieces["normal"] for c in p}
+    rune, beast = "\u16a0", "\U0001f984"
+    assert rune not in known and beast not in known
+    lat = piece_lattice.Lattices(pieces, sharpness)
+    texts = [rune * times, beast * times, "ab" + beast * times + "cd ef", (rune + beast) * times + "\nend", "plain words"]
+    for ids, t in zip(lat.encode(texts, ["k"] * len(texts)), texts):
+        assert lat.decode(ids.tolist()).decode() == t
+    assert len(lat.encode([beast * times], ["k"])[0]) == 4 * times + 1  # four byte pieces each, and the space before
+
+
 def test_encode_frame(spark):
     pairs = [(1, "Hello there, world\nand more"), (2, ""), (3, None), (None, "no id"), (5, "x" * 2_000_000 + " end"),
              (1, "Hello there, world\nand more")] + [(k, "some words %d" % k) for k in range(10, 60)]
