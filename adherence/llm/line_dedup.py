@@ -4,8 +4,8 @@ A text is cut into lines at ``\\n``. A rolling hash over the hashes of each
 line and the line before it decides where a chunk ends, so an insertion or
 deletion moves only the boundaries near it. A line of more than
 ``PASSAGE_WORDS`` words always ends the chunk before it and its own, so a long
-passage is a chunk of its own wherever it is inserted. Chunks of several lines,
-and such single passages, that occur more than once in the whole table are
+passage is a chunk of its own wherever it is inserted. Chunks of several lines
+and at least ``MIN_WORDS`` words, and such single passages, that occur more than once in the whole table are
 removed everywhere but at their first place (smallest doc_id, then position),
 after a comparison of their bytes.
 
