@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from adherence.llm import (exact_dedup, html_blocks, importance, line_dedup, lm, mixing, piece_lattice, quality_rules, simhash,
-                            substrings, toxicity, zstd_quality)
+from adherence.llm import (alignment, exact_dedup, html_blocks, importance, line_dedup, lm, mixing, piece_lattice, quality_rules,
+                            simhash, substrings, toxicity, zstd_quality)
 
 QUERIES = {
     "op1_html_blocks": html_blocks.op1_html_blocks,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_mix_sources": mixing.op8_mix_sources,
     "op9_lm_scoring": lm.op9_lm_scoring,
     "op10_quality_rules": quality_rules.op10_quality_rules,
+    "op11_tokenizer_alignment": alignment.op11_tokenizer_alignment,
     "op12_substring_dedup": substrings.op12_substring_dedup,
     "op13_importance_resampling": importance.op13_importance_resampling,
 }
