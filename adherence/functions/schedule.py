@@ -25,16 +25,20 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def clock_parts(clock) -> tuple[Column, Column, Column]:
+def clock_fields(clock) -> Column:
+    """The three fields of ``'H:M:S'`` as text, NULL for anything other than
+    three unsigned integers."""
+    c = _c(clock)
+    return F.split(F.when(c.rlike(CLOCK_PATTERN), c), ":")
+
+
+def clock_parts(clock, fields: Column | None = None) -> tuple[Column, Column, Column]:
     """``'H:M:S'`` -> (h, m, s) as INT. Hours may pass 24 (up to five
     digits), minutes and seconds are not range-checked. Anything other than
-    three unsigned integers (or NULL) gives NULL parts."""
-    c = _c(clock)
-    parts = []
-    for i in (1, 2, 3):
-        txt = F.regexp_extract(c, CLOCK_PATTERN, i)
-        parts.append(F.when(txt != "", txt).try_cast("int"))
-    return parts[0], parts[1], parts[2]
+    three unsigned integers (or NULL) gives NULL parts. ``fields``: the clock's
+    ``clock_fields`` where they are a column already."""
+    fields = clock_fields(clock) if fields is None else fields
+    return tuple(F.get(fields, F.lit(i)).try_cast("int") for i in range(3))
 
 
 def valid_epoch(epoch) -> Column:
@@ -81,12 +85,12 @@ def service_date(local_date: Column, hours: Column) -> Column:
     return F.date_sub(local_date, F.when(hours >= 24, 1).otherwise(0))
 
 
-def _instant_of(sd: Column, h: Column, m: Column, s: Column, tz: str) -> Column:
-    """Local midnight of ``sd`` plus h:m:s on the wall clock, as epoch seconds.
-    A wall time in the spring gap moves forward; in the autumn overlap the
-    earlier instant is taken."""
+def wall_of(sd: Column, h: Column, m: Column, s: Column, tz: str = DEFAULT_TZ) -> Column:
+    """Local midnight of ``sd`` plus h:m:s on the wall clock of ``tz``, as UTC
+    wall clock. A wall time in the spring gap moves forward; in the autumn
+    overlap the earlier instant is taken."""
     wall = F.to_timestamp_ntz(sd) + F.make_dt_interval(F.lit(0), h, m, s.cast("decimal(18,6)"))
-    return epoch_of_ntz(F.convert_timezone(F.lit(tz), F.lit("UTC"), wall))
+    return F.convert_timezone(F.lit(tz), F.lit("UTC"), wall)
 
 
 def scheduled_epoch(clock, actual_epoch, tz: str = DEFAULT_TZ, day_rule: str = "reference",
@@ -100,23 +104,31 @@ def scheduled_epoch(clock, actual_epoch, tz: str = DEFAULT_TZ, day_rule: str = "
       * ``start_date``: the ``start_date`` column (``yyyyMMdd``) fixes the day.
     NULL when the clock, the actual time or the start date cannot be used.
     """
-    if day_rule not in DAY_RULES:
-        raise ValueError(f"day_rule must be one of {DAY_RULES}, got {day_rule!r}")
     h, m, s = clock_parts(clock)
     e = _c(actual_epoch)
+    days = service_days(h, actual_local_date(e, tz), day_rule, start_date)
+    return chosen([epoch_of_ntz(wall_of(d, h, m, s, tz)) for d in days], h, e)
+
+
+def service_days(h: Column, local_day: Column, day_rule: str = "reference", start_date=None) -> list[Column]:
+    """The service day of a clock, or with the rule ``nearest`` the four that
+    are tried."""
+    if day_rule not in DAY_RULES:
+        raise ValueError(f"day_rule must be one of {DAY_RULES}, got {day_rule!r}")
     if day_rule == "start_date":
         if start_date is None:
             raise ValueError("day_rule='start_date' needs the start_date column")
-        sd = start_day(start_date)
-        return _instant_of(sd, h, m, s, tz)
-    local_day = actual_local_date(e, tz)
-    if day_rule == "reference":
-        return _instant_of(service_date(local_day, h), h, m, s, tz)
-    cands = []
-    for shift in (-2, -1, 0, 1):
-        inst = _instant_of(F.date_add(local_day, shift), h, m, s, tz)
-        cands.append(F.struct(F.abs(e - inst).alias("gap"), inst.alias("inst")))
-    return F.when(h.isNotNull(), F.least(*cands).getField("inst"))
+        return [start_day(start_date)]
+    return [service_date(local_day, h)] if day_rule == "reference" else [F.date_add(local_day, d) for d in (-2, -1, 0, 1)]
+
+
+def chosen(instants: list[Column], h: Column, epoch: Column) -> Column:
+    """The only instant, or of several the one closest to the actual time, the
+    earlier on ties."""
+    if len(instants) == 1:
+        return instants[0]
+    gaps = [F.struct(F.abs(epoch - c).alias("gap"), c.alias("inst")) for c in instants]
+    return F.when(h.isNotNull(), F.least(*gaps).getField("inst"))
 
 
 def start_day(start_date) -> Column:

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adherence.functions.schedule import DEFAULT_TZ, clock_parts, delay_seconds, scheduled_epoch, valid_epoch
+from adherence.functions.once import compute_once
+from adherence.functions.schedule import (DEFAULT_TZ, actual_local_date, chosen, clock_fields, clock_parts, delay_seconds,
+                                          epoch_of_ntz, service_days, valid_epoch, wall_of)
 from adherence.operators.latest import latest_per_key
 from adherence.operators.lookup import schedule_lookup
 
@@ -31,17 +33,22 @@ def add_delay(df: DataFrame, clock_col: str = "arrival_time", actual_col: str =
     """Adds ``scheduled_epoch``, ``delay_seconds`` and a ``reject_reason``
     (NULL for good rows). F10: every row without a schedule or a delay is
     rejected, whatever made it so."""
-    sched = scheduled_epoch(clock_col, actual_col, tz=tz, day_rule=day_rule,
-                            start_date=start_date_col)
-    h, _, _ = clock_parts(clock_col)
-    return (df.withColumn("scheduled_epoch", sched)
-              .withColumn("delay_seconds", delay_seconds(actual_col, "scheduled_epoch"))
-              .withColumn("reject_reason",
+    e = F.col(actual_col)
+    h, m, s = (F.col(f"_{n}") for n in "hms")
+    out = compute_once(df, {"_fields": clock_fields(clock_col), "_day": actual_local_date(e, tz)})
+    out = compute_once(out, dict(zip(("_h", "_m", "_s"), clock_parts(None, F.col("_fields")))))
+    days = service_days(h, F.col("_day"), day_rule, start_date_col)
+    walls = [f"_wall{i}" for i in range(len(days))]
+    out = compute_once(out, {w: wall_of(d, h, m, s, tz) for w, d in zip(walls, days)})
+    out = compute_once(out, {"scheduled_epoch": chosen([epoch_of_ntz(w) for w in walls], h, e)})
+    out = out.withColumn("delay_seconds", delay_seconds(actual_col, "scheduled_epoch"))
+    return out.withColumn("reject_reason",
                           F.when(F.col(clock_col).isNull(), F.lit("missing clock time"))
                            .when(h.isNull(), F.lit("unparseable clock time"))
                            .when(valid_epoch(actual_col).isNull(), F.lit("actual time out of range"))
                            .when(F.col("scheduled_epoch").isNull(), F.lit("no service day"))
-                           .when(F.col("delay_seconds").isNull(), F.lit("delay out of range"))))
+                           .when(F.col("delay_seconds").isNull(), F.lit("delay out of range"))) \
+              .drop("_fields", "_day", "_h", "_m", "_s", *walls)
 
 
 def trip_delays(updates: DataFrame, stop_times: DataFrame, keys: Sequence[str] = DEFAULT_KEYS,

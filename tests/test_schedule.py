@@ -70,3 +70,16 @@ def test_nearest_and_start_date_rules(spark):
     assert r.k == python_rule("24:05:00", 1751428680) + 86400
     with pytest.raises(ValueError):
         scheduled_epoch("clock", "e", day_rule="bogus")
+
+
+def test_the_delay_is_computed_once_above_the_join(spark):
+    """The filter on rejects stays above the lookup, which joins on its keys alone."""
+    from adherence.plans import catalog as C
+    from conftest import SF_SMALL
+    df = C.facts(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().explainString(df._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+    joins = [x for x in plan.split("\n\n") if "Join type: Inner" in x]
+    assert len(joins) == 1 and "Join condition: None" in joins[0]
+    assert plan.count("split(") == 1
+    # the zone is asked for once for the local day and once for the instant
+    assert plan.count("convert_timezone(") == 2
