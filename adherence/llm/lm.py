@@ -260,6 +260,7 @@ def local_updates(lists, model: Model) -> tuple[np.ndarray, np.ndarray]:
     often each row of the table occurred)."""
     w = model.weights.copy()
     seen, power = np.zeros(ROWS, np.int64), np.full(ROWS, 1e-6, np.float32)
+    met, place, classes = np.zeros(ROWS, bool), np.zeros(ROWS, np.int64), np.arange(CLASSES)
     for texts in lists:
         h, cls, per = sequences(texts, model.singles)
         f = features(h, per)
@@ -268,17 +269,18 @@ def local_updates(lists, model: Model) -> tuple[np.ndarray, np.ndarray]:
             rows, target = f[at:at + STEP_TOKENS], cls[at:at + STEP_TOKENS]
             g = softmax(w, model.bias, rows)
             g[np.arange(len(g)), target] -= 1.0
+            g = g.astype(np.float64).reshape(-1)
             for k in range(rows.shape[1]):
-                r = rows[:, k].astype(np.uint16)  # ROWS fit 16 bits: a radix sort
-                order = np.argsort(r, kind="stable")
-                r = r[order]
-                begin = np.flatnonzero(np.concatenate(([True], r[1:] != r[:-1])))
-                grad = np.add.reduceat(g.take(order, axis=0), begin, axis=0)
-                r = r[begin]
+                met[rows[:, k]] = True
+                r = np.flatnonzero(met)
+                met[r] = False
+                place[r] = np.arange(0, len(r) * CLASSES, CLASSES)
+                # Sums per (row, class): one weighted count over all cells.
+                cell = (place[rows[:, k]][:, None] + classes).reshape(-1)
+                grad = np.bincount(cell, g, len(r) * CLASSES).astype(np.float32).reshape(-1, CLASSES)
                 power[r] += np.einsum("ij,ij->i", grad, grad) / CLASSES
                 grad *= (-RATE / np.sqrt(power[r]))[:, None]
-                grad += w.take(r, axis=0)
-                w[r] = grad
+                w[r] += grad
     return w - model.weights, seen
 
 
