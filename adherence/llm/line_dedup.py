@@ -29,7 +29,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from adherence.llm.common import checkpointed, fresh, let, table
+from adherence.llm.common import checkpointed, fresh, let, salted_join, table
+from adherence.session import work_path
 
 #: A chunk ends, on average, after this many lines.
 EVERY = 3
@@ -97,20 +98,27 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = (rows.select("id", "md5", "pos", "c.lines", "c.body", "c.words")
                 .filter((F.col("words") >= MIN_WORDS) & ((F.col("lines") > 1) | (F.col("words") > PASSAGE_WORDS)))
                 .withColumn("hash", chunk_hash(F.col("body"))))
-    rows = rows.withColumn("place", _place())
+    # Cut once: the chunks that may go are written, and read for the groups
+    # (with their bodies) and for the places (without).
+    path = work_path(docs.sparkSession, "line_dedup", unique=True)
+    rows.drop("lines", "words").withColumn("place", _place()).write.parquet(path)
+    rows = docs.sparkSession.read.parquet(path)
     groups = (rows.groupBy("hash", "body").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                   .groupBy("hash").agg(F.count("*").alias("contents"), F.min("first").alias("first"),
                                        F.max(F.col("first") != F.col("last")).alias("repeated"))
                   .filter("repeated"))
     groups = checkpointed(groups)
     light = rows.select("id", "md5", "pos", "hash", "place")
-    hits = light.join(groups.filter("contents = 1"), "hash").filter("place != first").select("id", "md5", "pos")
+    # The places of a very common chunk are dealt over salts.
+    hits = salted_join(light, groups.filter("contents = 1").select("hash", "first"), "hash", ["id", "md5", "pos"])
+    hits = hits.filter("place != first").select("id", "md5", "pos")
     collided = groups.filter("contents > 1").select("hash")
     if not collided.isEmpty():
         mixed = rows.join(collided, "hash", "left_semi")
         firsts = mixed.groupBy("hash", "body").agg(F.min("place").alias("first"))
-        hits = hits.unionByName(mixed.join(firsts, ["hash", "body"]).filter("place != first")
-                                .select("id", "md5", "pos"))
+        mixed = salted_join(mixed.withColumn("one", F.struct("hash", "body")),
+                            firsts.select(F.struct("hash", "body").alias("one"), "first"), "one", ["id", "md5", "pos"])
+        hits = hits.unionByName(mixed.filter("place != first").select("id", "md5", "pos"))
     return hits.groupBy("id", "md5").agg(F.collect_set("pos").alias("drop"))
 
 

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from adherence.llm.common import checkpointed, fresh, let, table, words_of
+from adherence.session import work_path
 
 SKETCH_BITS = 5
 MIN_GROUP = 200
@@ -203,14 +204,18 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def filter_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are kept, all columns as they were."""
+    """The rows of ``docs`` that are kept, all columns as they were (of types
+    that Parquet has)."""
     before = docs.columns
     p = fresh([c + x for c in before for x in ("", "_")], "q10_")[0]
     while any(c.lower().startswith(p) for c in before):
         p = "_" + p
-    m = with_metrics(docs, prefix=p)
-    limits = thresholds(sketches(checkpointed(m.select("lang", "source", *[c for c in m.columns if c.startswith(p)])),
-                                 prefix=p))
+    # The texts are measured once: rows and metrics are written to the shared
+    # folder, the sketches read the metrics alone, the verdict reads both.
+    path = work_path(docs.sparkSession, "quality_rules", unique=True)
+    with_metrics(docs, prefix=p).write.parquet(path)
+    m = docs.sparkSession.read.parquet(path)
+    limits = thresholds(sketches(m, prefix=p))
     return judge(m, limits, prefix=p, kept=p + "kept").filter(F.col(p + "kept")).select(*[F.col(f"`{c}`") for c in before])
 
 
