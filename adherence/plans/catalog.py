@@ -773,11 +773,200 @@ def k6_deleted(spark, sf_dir):
     return apply_differential(e, values=["feed_key", "n_stops"], order="arrival_order").drop("is_deleted")
 
 
-@query("k6_full_dataset")
-def k6_full_dataset(spark, sf_dir):
+def mixed_feeds(spark, sf_dir) -> DataFrame:
     """Feeds by day, of which every 100th day's are full datasets."""
     e = _entities(spark, sf_dir).withColumns({"is_full": (F.col("ts") / 86400).cast("long") % 100 == 0,
                                               "arrival_order": F.col("ts")})
-    one = e.groupBy("entity_id", "arrival_order").agg(F.sum("n_stops").alias("n_stops"), F.max("is_deleted").alias("is_deleted"),
-                                                      F.max("is_full").alias("is_full"))
-    return apply_feeds(one, values=["n_stops"]).drop("is_deleted")
+    return e.groupBy("entity_id", "arrival_order").agg(F.sum("n_stops").alias("n_stops"), F.max("is_deleted").alias("is_deleted"),
+                                                       F.max("is_full").alias("is_full"))
+
+
+@query("k6_full_dataset")
+def k6_full_dataset(spark, sf_dir):
+    return apply_feeds(mixed_feeds(spark, sf_dir), values=["n_stops"]).drop("is_deleted")
+
+
+# ------------------------------------------------- views that move (streams)
+from adherence.streaming import evolving as EV  # noqa: E402
+from adherence.streaming import turns as TN  # noqa: E402
+from adherence.streaming import vehicles as VH  # noqa: E402
+
+
+def _flat_stream(spark, folder: str, like: DataFrame) -> DataFrame:
+    """Landed rows as a stream."""
+    return spark.readStream.schema(like.schema).parquet(folder)
+
+
+def _paths(spark, name: str) -> tuple[str, str, str]:
+    """Folders for what is landed, for the sink and for the checkpoint."""
+    return tuple(work_path(spark, kind, name, unique=True) for kind in ("landing", "tables", "streams"))
+
+
+def day_feeds(spark, sf_dir) -> DataFrame:
+    """One feed of the whole network per ship day."""
+    rows = FB.feed_rows(spark, sf_dir)
+    return FD.encode_feeds(rows.withColumn("feed_key", F.split("feed_key", "/")[0]))
+
+
+@query("r2_delay_now_stream")
+def r2_delay_now_stream(spark, sf_dir):
+    """R2 as a stream over landed feeds: a feed per day, day windows, two days
+    of watermark. The feeds of every seventh day arrive after all others, so
+    their windows are closed but for those at the end."""
+    landing, sink, ck = _paths(spark, "r2")
+    feeds = day_feeds(spark, sf_dir)
+    day = F.floor(F.col("feed_ts") / 86400)
+    late = day % 7 == 3
+    types = {"trip_id": "bigint", "stop_id": "bigint", "stop_sequence": "int"}
+    trips = B.trips(spark, sf_dir).select("trip_id", "route_id")
+    times = B.stop_times_raw(spark, sf_dir)
+
+    def start():
+        updates, _ = J.updates_from_records(file_stream(spark, landing), types)
+        delays = EV.delays_of(updates.drop("route_id"), times).join(trips, "trip_id")
+        return TN.append_stream(EV.moving_windows(delays, ["route_id"], "1 day", "2 days"), sink, ck, TN.NOW)
+
+    records = feeds.select(F.lit("feeds").alias("topic"), F.lit(0).alias("partition"), F.col("feed_ts").alias("offset"),
+                           F.timestamp_seconds("feed_ts").alias("timestamp"), "value", late.alias("late"))
+    records = records.persist()  # encoded once for the turns
+    try:
+        on_time = TN.parts_by(records.filter(~F.col("late")), "offset", 2)
+        TN.in_turns([p.drop("late") for p in (*on_time, records.filter("late"))], landing, start)
+    finally:
+        records.unpersist()
+    return spark.read.schema("route_id bigint, window_start bigint, n bigint, avg_delay double").parquet(sink)
+
+
+def frequent_updates(spark, sf_dir) -> DataFrame:
+    """Updates of trips that run often: the supplier as trip, twenty groups of
+    parts as its stops, the ship day as feed."""
+    li = B.table(spark, sf_dir, "lineitem")
+    base = epoch_of_ntz("l_shipdate") + (F.col("l_orderkey") * 37) % 86400
+    return li.select(F.col("l_suppkey").alias("trip_id"), (F.col("l_partkey") % 20).alias("stop_id"), F.lit(1).alias("stop_sequence"),
+                     F.when(F.col("l_returnflag") != "A", base).alias("arrival_epoch"), (base + 30).alias("departure_epoch"),
+                     epoch_of_ntz(F.to_timestamp_ntz(F.to_date("l_shipdate"))).alias("feed_ts"))
+
+
+def frequent_times(spark, sf_dir) -> DataFrame:
+    """A timetable for them."""
+    rows = frequent_updates(spark, sf_dir).select("trip_id", "stop_id", "stop_sequence").distinct()
+    return rows.withColumn("arrival_time", F.format_string("%02d:%02d:00", 4 + F.col("trip_id") % 20, F.col("stop_id") * 3))
+
+
+@query("r2_delay_changes_stream")
+def r2_delay_changes_stream(spark, sf_dir):
+    """R2 from feed to feed, the feeds cut into three batches by day."""
+    landing, sink, ck = _paths(spark, "r2c")
+    updates, times = frequent_updates(spark, sf_dir), frequent_times(spark, sf_dir)
+
+    def start():
+        delays = EV.delays_of(_flat_stream(spark, landing, updates), times, keep=["feed_ts"])
+        return TN.append_stream(EV.delay_changes(delays), sink, ck, TN.NOW)
+
+    TN.in_turns(TN.parts_by(updates, "feed_ts", 3), landing, start)
+    return spark.read.parquet(sink)
+
+
+@query("t1_latest_of_day_stream")
+def t1_latest_of_day_stream(spark, sf_dir):
+    """The facts of every finished feed day, with the finished days out of the state."""
+    landing, sink, ck = _paths(spark, "t1")
+    day = epoch_of_ntz(F.to_timestamp_ntz(F.to_date("arrival_order.l_shipdate")))
+    updates, times = B.stop_updates(spark, sf_dir).withColumn("feed_ts", day), B.stop_times_raw(spark, sf_dir)
+
+    def start():
+        timed = choose_actual_time(_flat_stream(spark, landing, updates))
+        facts_ = add_delay(schedule_lookup(EV.latest_of_day(timed), times, B.KEYS)).filter("reject_reason IS NULL")
+        cols = (*B.KEYS, "feed_date", "scheduled_epoch", "actual_epoch", "delay_seconds", "time_source")
+        return TN.append_stream(facts_.select(*cols), sink, ck, TN.NOW)
+
+    TN.in_turns(TN.parts_by(updates, "feed_ts", 3), landing, start)
+    return spark.read.parquet(sink)
+
+
+@query("k6_stream")
+def k6_stream(spark, sf_dir):
+    """The feeds of k6_full_dataset as a stream, cut into three batches."""
+    landing, sink, ck = _paths(spark, "k6")
+    feeds = mixed_feeds(spark, sf_dir).withColumnRenamed("arrival_order", "feed_ts")
+    first = Window.partitionBy("feed_ts").orderBy("entity_id")
+    feeds = feeds.withColumn("is_head", F.row_number().over(first) == 1)
+
+    def start():
+        return TN.append_stream(EV.live_entities(_flat_stream(spark, landing, feeds)), sink, ck, TN.NOW)
+
+    TN.in_turns(TN.parts_by(feeds, "feed_ts", 3), landing, start)
+    return EV.last_emitted(spark.read.parquet(sink), ["entity_id"]).filter("live").drop("live")
+
+
+@query("k1_stream")
+def k1_stream(spark, sf_dir):
+    """Predictions of k1_resets as a stream: the timetable first, then the
+    updates in two batches; the last emission of every stop."""
+    landing, sink, ck = _paths(spark, "k1")
+    none = F.lit(None).cast("int")
+    stops = B.stop_times(spark, sf_dir).select(F.lit("stop").alias("kind"), *B.KEYS, F.lit(-1).cast("long").alias("ord"),
+                                               none.alias("delay_seconds"), none.alias("trip_delay"))
+    own = F.when(F.coalesce("rel", F.lit("")) != "NO_DATA", F.col("delay_seconds"))
+    updates = related_facts(spark, sf_dir).select(F.lit("update").alias("kind"), *B.KEYS, F.col("actual_epoch").alias("ord"),
+                                                  own.alias("delay_seconds"), none.alias("trip_delay"))
+
+    def start():
+        return TN.append_stream(EV.live_predictions(_flat_stream(spark, landing, stops)), sink, ck, TN.NOW)
+
+    TN.in_turns([stops, *TN.parts_by(updates, "ord", 2)], landing, start)
+    return EV.last_emitted(spark.read.parquet(sink), B.KEYS)
+
+
+def vehicle_rows(spark, sf_dir) -> DataFrame:
+    """Positions of vehicles: an event is where its user's vehicle was seen. A
+    feed holds ten minutes; a third of the positions is in the next feed too."""
+    ev = B.events(spark, sf_dir).select(F.col("user_id").alias("v"), F.unix_seconds(F.col("ts").cast("timestamp")).alias("t")) \
+          .distinct()
+    s = B.table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_name").alias("vehicle_label"))
+    n = F.when(F.col("t") % 3 == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    ev = ev.join(s, F.col("v") == F.col("k"), "left").withColumn("later", F.explode(n))
+    feed = (F.floor(F.col("t") / 600) + F.col("later")) * 600
+    quarter = lambda c, k: ((c % k) / 4).cast("float")
+    return ev.select(
+        feed.cast("string").alias("feed_key"), feed.alias("feed_ts"), F.col("v").cast("string").alias("vehicle_id"), "vehicle_label",
+        F.when(F.col("t") % 4 != 0, F.concat(F.lit("T"), (F.col("t") % 50).cast("string"))).alias("trip_id"),
+        F.lit(None).cast("string").alias("route_id"),
+        (quarter(F.col("t"), 720) - 90).cast("float").alias("latitude"),
+        (quarter(F.col("t") * 7 + F.col("v"), 1440) - 180).cast("float").alias("longitude"),
+        F.when(F.col("t") % 5 != 0, quarter(F.col("t"), 1440)).cast("float").alias("bearing"),
+        F.when(F.col("t") % 7 != 0, quarter(F.col("t"), 120)).cast("float").alias("speed"),
+        (F.col("t") % 40).alias("current_stop_sequence"),
+        F.when(F.col("t") % 2 == 0, "STOPPED_AT").alias("current_status"),
+        F.concat(F.lit("S"), (F.col("v") % 9).cast("string")).alias("stop_id"), F.col("t").alias("vehicle_ts"))
+
+
+def seen_vehicles(spark, sf_dir) -> DataFrame:
+    landing, sink, ck = _paths(spark, "r3")
+    feeds = VH.encode_vehicle_feeds(vehicle_rows(spark, sf_dir)).persist()
+
+    def start():
+        return TN.append_stream(VH.positions_once(spark.readStream.schema("value binary").parquet(landing)), sink, ck, TN.NOW)
+
+    try:
+        TN.in_turns([p.select("value") for p in TN.parts_by(feeds, "feed_ts", 3)], landing, start)
+    finally:
+        feeds.unpersist()
+    return spark.read.parquet(sink)
+
+
+@query("r3_positions_stream")
+def r3_positions_stream(spark, sf_dir):
+    """Every position once, though feeds repeat them."""
+    return seen_vehicles(spark, sf_dir).select(
+        "vehicle_id", "vehicle_ts", "vehicle_label", "trip_id", F.col("latitude").cast("double").alias("latitude"),
+        F.col("longitude").cast("double").alias("longitude"), F.col("bearing").cast("double").alias("bearing"),
+        F.col("speed").cast("double").alias("speed"), "current_stop_sequence", "current_status", "stop_id")
+
+
+@query("r3_latest_vehicles")
+def r3_latest_vehicles(spark, sf_dir):
+    """The last position of every vehicle, from the stream's table."""
+    last = FL.latest_vehicles(seen_vehicles(spark, sf_dir), order=("vehicle_ts", "feed_ts"))
+    return last.select("vehicle_id", "vehicle_ts", F.col("latitude").cast("double").alias("latitude"),
+                       F.col("speed").cast("double").alias("speed"), "stop_id")

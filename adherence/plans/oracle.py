@@ -515,3 +515,47 @@ s AS (SELECT max(feed_ts) AS start FROM one WHERE (feed_ts // 86400) % 100 = 0)
 SELECT entity_id, f.n_stops AS n_stops FROM (
   SELECT entity_id, max_by(struct_pack(n_stops := n_stops, d := d), feed_ts) AS f FROM one, s
   WHERE start IS NULL OR feed_ts >= start GROUP BY entity_id) WHERE NOT f.d"""
+
+# ------------------------------------------------- views that move (streams)
+_HIST = SQL["r2_delay_now"][: SQL["r2_delay_now"].index("agg AS (")]
+assert "u.*" in _HIST
+SQL["r2_delay_now_stream"] = _HIST.replace("SELECT s.trip_id, s.actual_epoch, t.route_id,",
+    "SELECT s.trip_id, s.actual_epoch, t.route_id, (epoch(s.ord[1])::BIGINT // 86400) % 7 = 3 AS late,") + """
+wm AS (SELECT max(actual_epoch) FILTER (NOT late) - 172800 AS before, max(actual_epoch) - 172800 AS after FROM hist)
+SELECT route_id, (actual_epoch // 86400) * 86400 AS window_start, count(*) AS n, round(avg(delay_seconds), 3) AS avg_delay
+FROM hist, wm WHERE (NOT late OR (actual_epoch // 86400 + 1) * 86400 > before)
+  AND (actual_epoch // 86400 + 1) * 86400 <= greatest(before, after)
+GROUP BY ALL"""
+SQL["r2_delay_changes_stream"] = f"""
+WITH u AS (
+  SELECT l_suppkey AS trip_id, l_partkey % 20 AS stop_id, 1 AS stop_sequence, (epoch(l_shipdate)::BIGINT // 86400) * 86400 AS feed_ts,
+         epoch(l_shipdate)::BIGINT + (l_orderkey * 37) % 86400 + CASE WHEN l_returnflag = 'A' THEN 30 ELSE 0 END AS actual_epoch,
+         4 + l_suppkey % 20 AS h, l_partkey % 20 * 3 AS m FROM lineitem),
+d AS (
+  SELECT *, CAST(actual_epoch - CAST(epoch(timezone('{TZ}',
+              CAST(CAST(timezone('{TZ}', to_timestamp(actual_epoch)) AS DATE) - CAST(CASE WHEN h >= 24 THEN 1 ELSE 0 END AS INTEGER)
+                   AS TIMESTAMP) + to_seconds(CAST(h AS BIGINT) * 3600 + m * 60))) AS BIGINT) AS INTEGER) AS delay_seconds FROM u),
+f AS (
+  SELECT trip_id, stop_id, stop_sequence, feed_ts, max_by(delay_seconds, actual_epoch) AS delay_seconds FROM d
+  GROUP BY trip_id, stop_id, stop_sequence, feed_ts)
+SELECT *, lag(feed_ts) OVER w AS previous_feed_ts, CAST(delay_seconds - lag(delay_seconds) OVER w AS INTEGER) AS change
+FROM f WINDOW w AS (PARTITION BY trip_id, stop_id, stop_sequence ORDER BY feed_ts)"""
+SQL["t1_latest_of_day_stream"] = SQL["r4_backfill"] + """
+WHERE feed_date < (SELECT strftime(max(l_shipdate), '%Y-%m-%d') FROM lineitem)"""
+SQL["k6_stream"] = SQL["k6_full_dataset"]
+SQL["k1_stream"] = SQL["k1_resets"]
+_SEEN = """
+WITH p AS (SELECT DISTINCT user_id AS v, epoch(date_trunc('second', ts))::BIGINT AS t FROM events),
+seen AS (
+  SELECT v::VARCHAR AS vehicle_id, t AS vehicle_ts, s_name AS vehicle_label,
+         CASE WHEN t % 4 <> 0 THEN 'T' || (t % 50)::VARCHAR END AS trip_id, (t % 720) / 4.0 - 90 AS latitude,
+         ((t * 7 + v) % 1440) / 4.0 - 180 AS longitude, CASE WHEN t % 5 <> 0 THEN (t % 1440) / 4.0 END AS bearing,
+         CASE WHEN t % 7 <> 0 THEN (t % 120) / 4.0 END AS speed, t % 40 AS current_stop_sequence,
+         CASE WHEN t % 2 = 0 THEN 'STOPPED_AT' END AS current_status, 'S' || (v % 9)::VARCHAR AS stop_id
+  FROM p LEFT JOIN supplier ON v = s_suppkey)
+"""
+SQL["r3_positions_stream"] = _SEEN + """SELECT vehicle_id, vehicle_ts, vehicle_label, trip_id, latitude::DOUBLE AS latitude,
+  longitude::DOUBLE AS longitude, bearing::DOUBLE AS bearing, speed::DOUBLE AS speed, current_stop_sequence, current_status, stop_id
+FROM seen"""
+SQL["r3_latest_vehicles"] = _SEEN + """SELECT vehicle_id, max(vehicle_ts) AS vehicle_ts, max_by(latitude, vehicle_ts)::DOUBLE AS latitude,
+  max_by({'s': speed}, vehicle_ts).s::DOUBLE AS speed, max_by(stop_id, vehicle_ts) AS stop_id FROM seen GROUP BY vehicle_id"""
