@@ -16,9 +16,13 @@ without telling markup, so that the neighbours have to decide. The model has a
 fixed size and is broadcast; pages are then read whole, without a shuffle.
 
 Defined results: null or empty html, and pages without an article, give the
-empty text; unclosed tags, comments and truncated pages are read as far as
-they go; repeated rows give equal results; an empty table gives no rows;
-other columns are ignored.
+empty text; unclosed elements and truncated pages are read to their end, but
+for an unclosed script, style or comment, which by HTML's rules takes the rest;
+formulas, drawings, objects and noscript are text like any other, for the
+labeller to judge; a block that scores exactly 0.5 is taken; very long pages are
+read whole, their blocks labelled ``CELLS`` at a time with the context that
+both directions carry; repeated rows give equal results; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,10 +49,14 @@ CELLS = 8192  # blocks, padding included, labelled at a time
 MEMO = 300_000
 
 # ------------------------------------------------------------------ blocks
-#: Tags whose content is no text, and tags that do not end a block.
-HIDDEN_TAGS = frozenset("script style noscript template svg math head title object iframe canvas audio video textarea".split())
+#: Elements whose content is no text of the page (code, templates, the head, form
+#: fields), and elements that do not end a block (formulas and drawings among them).
+HIDDEN_TAGS = frozenset("script style template head title textarea select iframe annotation annotation-xml".split())
+CODE = frozenset("script style".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
-                   "q s samp small span strike strong sub sup time tt u var wbr nobr".split())
+                   "q s samp small span strike strong sub sup time tt u var wbr nobr "
+                   "math semantics mrow mi mn mo ms mtext mfrac msqrt mroot msub msup msubsup munder mover munderover mspace "
+                   "svg g text tspan path object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: A start tag of the key ends an open element of the value.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -147,12 +155,13 @@ def blocks_of(page: str | None) -> list[Block]:
                 if stack[j][0] in ("ul", "ol", "table", "div", "dl", "select"):
                     break
         if tag in HIDDEN_TAGS:
-            if tag != "head" and not m[3].endswith("/"):
-                end = re.compile(r"</" + re.escape(tag) + r"[^>]*>", re.I).search(page, at)
-                at = end.end() if end else len(page)
-            elif tag == "head":
+            if tag == "head":
                 body = re.compile(r"</head\s*>|<body", re.I).search(page, at)
                 at = body.start() if body else at
+            elif not m[3].endswith("/"):
+                end = re.compile(r"</" + re.escape(tag) + r"[^>]*>", re.I).search(page, at)
+                # Code without an end is code to the end; anything else hides nothing then.
+                at = end.end() if end else len(page) if tag in CODE else at
             continue
         if tag not in VOID and not m[3].endswith("/"):
             stack.append(_element(tag, m[3]))
