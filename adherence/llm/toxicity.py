@@ -14,14 +14,15 @@ K n exp(-lambda S) segments of score S or more; what a segment has beyond that,
 max(0, lambda S - ln(K n)), is its evidence. The evidence of all segments is
 summed, and a logistic curve turns it into the score.
 
-Bounds of fitting (documented parameters): ``PER_CLASS`` labelled texts of each
-label; half of them for the counts, half for lambda, K and the curve; at most
-twice ``MAX_FEATURES`` features, which is the bound of the broadcast. Scoring reads
-whole texts in slices, in one pass without a shuffle.
+Bound of fitting (a documented parameter): ``PER_CLASS`` labelled texts of each
+label; half of them for the counts, half for lambda, K and the curve. The
+features that are kept come from these texts' words, which bounds what is
+sent to the tasks. Scoring reads whole texts in slices, in one pass without a
+shuffle.
 
 Defined results: a null or empty text has no segments; a null doc_id is not
 held out; with labels of one kind or none, every score is that kind's
-smoothed share; repeated rows are scored alike; an empty table gives no rows;
+smoothed share; a score of exactly the threshold is toxic; repeated rows are scored alike; an empty table gives no rows;
 other columns are ignored.
 """
 
@@ -40,7 +41,6 @@ from adherence.llm.common import checkpointed, fold, table
 from adherence.llm.labelled import FOLDS, labelled_sample, logistic, platt
 
 PER_CLASS = 4000
-MAX_FEATURES = 50_000
 PRIOR = 1.0
 MIN_Z, MIN_ODDS = 3.0, 1.5
 DRIFT = 0.1
@@ -92,7 +92,7 @@ def place_counts(sample: DataFrame) -> DataFrame:
 
 def log_odds(counts: DataFrame) -> dict[str, float]:
     """Log-odds of the significant features, and 0 for common words that begin
-    like one; at most ``MAX_FEATURES`` of either."""
+    like one."""
     whole = counts.filter(~F.col("feature").startswith("^"))
     nt, no, v = whole.agg(F.sum("toxic"), F.sum("other"), F.count("*")).first()
     nt, no = (nt or 0) + PRIOR * v, (no or 0) + PRIOR * v
@@ -100,16 +100,14 @@ def log_odds(counts: DataFrame) -> dict[str, float]:
         return {}
     a, b = F.col("toxic") + PRIOR, F.col("other") + PRIOR
     odds = F.log(a / nt) - F.log(b / no)
-    rows = (counts.select("feature", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
-                  .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS))
-                  .orderBy(F.desc("z"), "feature").limit(MAX_FEATURES).collect())
-    out = {r["feature"]: r["odds"] for r in rows}
+    kept = (counts.select("feature", odds.alias("odds"), (odds / F.sqrt(1 / a + 1 / b)).alias("z"))
+                  .filter((F.col("z") >= MIN_Z) & (F.col("odds") >= MIN_ODDS)).select("feature", "odds"))
     # Words that other texts use themselves don't follow their first letters.
-    heads = [f[1:] for f in out if f[0] == "^"]
-    plain = (whole.filter(F.substring("feature", 1, 4).isin(heads) & (F.char_length("feature") >= 5) & (F.col("other") > 0))
-                  .orderBy(F.desc("other"), "feature").limit(MAX_FEATURES).collect())
-    out.update((r["feature"], 0.0) for r in plain if r["feature"] not in out)
-    return out
+    heads = kept.filter(F.col("feature").startswith("^")).select(F.substring("feature", 2, 4).alias("head"))
+    plain = (whole.filter((F.char_length("feature") >= 5) & (F.col("other") > 0))
+                  .withColumn("head", F.substring("feature", 1, 4)).join(heads, "head", "left_semi")
+                  .join(kept, "feature", "left_anti").select("feature", F.lit(0.0).alias("odds")))
+    return {r["feature"]: r["odds"] for r in kept.unionByName(plain).collect()}  # words of the sample
 
 
 # ----------------------------------------------------------------- scoring
@@ -219,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int
 def score(docs: DataFrame, model: tuple) -> DataFrame:
     """doc_id, score, evidence and the significant passages (first and last
     word, score) of every row."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * MAX_FEATURES words
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # words of the sample
     kind = pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64()), ("score", pa.float64())]))
 
     def run(batches):
