@@ -19,6 +19,11 @@ of rank r weighs 1 / (r + ``ZIPF_SHIFT``), to the power ``sharpness``.
 Characters without a piece become byte pieces (as does the space mark
 U+2581 itself where the text has it), so decoding gives every text back.
 
+A chunk of more than ``WINDOW`` characters (a text without blanks) is filtered
+window by window: the forward sums at the borders are kept, and the windows
+are filtered once more, from the last to the first, to sample in them. Memory
+then follows the window, time the length.
+
 Defined results: a null text gives null ids and a null text; the empty text
 gives no ids; a null row key is a key of its own; repeated rows get equal
 ids; an empty table gives no rows; other columns are ignored by the query.
@@ -45,6 +50,7 @@ SHARPNESS = 1.0
 MEMO_CHUNKS = 300_000
 BATCH_CHARS = 1_500_000
 LONG_CHUNK = 64
+WINDOW = 1 << 13
 _DENSE = 128
 _CELLS = 1 << 17  # places of chunks filtered at once
 _CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
@@ -267,6 +273,78 @@ class Lattices:
             out, length = self._bytes(out, length)
         return out, length
 
+    # ------------------------------------------------------- long chunks
+    def _edges(self, chunk: str, lo: int, hi: int) -> tuple[list, list, list, list]:
+        """(first edge of each place, lengths, weights, ids) of the edges that
+        end in the places lo + 1 to hi, those of a place longest first."""
+        begin = max(0, lo - self.depth + 1)
+        raw = np.frombuffer(chunk[begin:hi].encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+        code = np.zeros(len(raw) + self.depth, np.int32)
+        code[:len(raw)] = self.code[raw]
+        at, state, found = np.arange(len(raw)), np.ones(len(raw), np.int32), []
+        for d in range(self.depth):
+            state = self._follow(state, code[at + d])
+            on = state > 0
+            if not d:  # characters without a piece of their own
+                alone = np.flatnonzero(~(on & (self.node_id[state] >= 0)))
+                ch = raw[alone]
+                byte = self.byte_w * (1 + (ch > 0x7F) + (ch > 0x7FF) + (ch > 0xFFFF)) + _SCALE
+                found.append((alone + 1, np.ones(len(alone), np.int64), byte, -1 - ch))
+            at, state = at[on], state[on]
+            known = self.node_id[state] >= 0
+            node = state[known]
+            found.append((at[known] + d + 1, np.full(len(node), d + 1), self.node_w[node], self.node_id[node].astype(np.int64)))
+        end, size, weight, ident = (np.concatenate(x) for x in zip(*found))
+        end = end + (begin - lo - 1)  # places of the window from 0
+        inside = np.flatnonzero((end >= 0) & (end < hi - lo))
+        order = inside[np.lexsort((-size[inside], end[inside]))]
+        firsts = np.searchsorted(end[order], np.arange(hi - lo + 1))
+        return firsts.tolist(), size[order].tolist(), np.exp(weight[order]).tolist(), ident[order].tolist()
+
+    def _forward(self, alpha: list[float], edges: tuple, cums: list | None = None) -> list[float]:
+        """Forward sums past a window, up to a factor; ``alpha`` and the result
+        are those of the last ``depth`` places. ``cums`` gets the cumulated edge
+        probabilities of every place."""
+        firsts, size, weight, _ = edges
+        alpha = list(alpha)
+        for a, b in zip(firsts, firsts[1:]):
+            parts = [alpha[-size[k]] * weight[k] for k in range(a, b)]
+            total = sum(parts)
+            if cums is not None:
+                upto = 0.0
+                cums.append([upto := upto + x / total for x in parts])
+            alpha.append(total)
+            if not 1e-100 < total < 1e100:
+                alpha[-self.depth:] = [x / total for x in alpha[-self.depth:]]
+        return alpha[-self.depth:]
+
+    def sample_long(self, chunk: str, key: int, window: int = 0) -> np.ndarray:
+        """Pieces of one path through a long chunk."""
+        window = window or WINDOW
+        alpha = [0.0] * (self.depth - 1) + [1.0]
+        borders = []
+        for lo in range(0, len(chunk), window):
+            borders.append(alpha)
+            alpha = self._forward(alpha, self._edges(chunk, lo, min(lo + window, len(chunk))))
+        out, place, step, draws = [], len(chunk), 0, []
+        for w in range(len(borders) - 1, -1, -1):
+            lo = w * window
+            edges, cums = self._edges(chunk, lo, min(lo + window, len(chunk))), []
+            self._forward(borders[w], edges, cums)
+            while place > lo:
+                if step % window == 0:
+                    draws = uniforms(key, step, window)
+                cum = cums[place - lo - 1]
+                u, k = draws[step % window], 0
+                while k < len(cum) - 1 and u >= cum[k]:
+                    k += 1
+                k += edges[0][place - lo - 1]
+                out.append(edges[3][k])
+                place -= edges[1][k]
+                step += 1
+        ids = np.array(out[::-1], np.int32)
+        return self._bytes(ids, np.array([len(ids)]))[0] if len(ids) and ids.min() < 0 else ids
+
     def _bytes(self, out: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Put byte pieces in the place of characters without a piece."""
         marked = np.flatnonzero(out < 0)
@@ -288,6 +366,10 @@ class Lattices:
             chunks += found
             counts.append(len(found))
             seeds.append(xxhash.xxh64_intdigest(key, 7))
+        long = [k for k, c in enumerate(chunks) if len(c) > WINDOW]
+        kept = {k: chunks[k] for k in long}
+        for k in long:
+            chunks[k] = " "  # in its place, so that the others keep their numbers
         ends = list(map(self.memo.get, chunks))
         if None in ends:
             new = list({c for c, e in zip(chunks, ends) if e is None})
@@ -300,7 +382,10 @@ class Lattices:
         keys = mixed(np.repeat(np.array(seeds, np.uint64), counts) + number.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         ids, length = self.sample(np.array(ends, np.int64), keys)
         upto = np.concatenate(([0], np.cumsum(length)))
-        return [ids[upto[a]:upto[a + n]] for a, n in zip(starts, counts)]
+        if not long:
+            return [ids[upto[a]:upto[a + n]] for a, n in zip(starts, counts)]
+        paths = [self.sample_long(kept[k], int(keys[k])) if k in kept else ids[upto[k]:upto[k + 1]] for k in range(len(chunks))]
+        return [np.concatenate([ids[:0], *paths[a:a + n]]) for a, n in zip(starts, counts)]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.out.__getitem__, ids))[1:]
@@ -318,6 +403,12 @@ def uniform(keys: np.ndarray, step: int) -> np.ndarray:
     return (z >> np.uint64(11)).astype(np.float64) * 2.0 ** -53
 
 
+def uniforms(key: int, step: int, n: int) -> list[float]:
+    """The draws of a row's steps from ``step`` on."""
+    at = np.uint64(key) + np.arange(step, step + n, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)
+    return ((mixed(at) >> np.uint64(11)).astype(np.float64) * 2.0 ** -53).tolist()
+
+
 _WORKERS: dict = {}  # lattices live as long as the Python worker
 
 
