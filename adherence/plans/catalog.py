@@ -37,26 +37,40 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from adherence.functions.labels import display_label  # noqa: E402
 from adherence.operators import serving as S  # noqa: E402
+from adherence.session import work_path  # noqa: E402
+from adherence.sources.tables import publish, read_table, state_of  # noqa: E402
+from adherence.streaming.jobs import publish_facts  # noqa: E402
+
+
+def served_facts(spark, sf_dir) -> DataFrame:
+    """The published fact table that the serving queries read (S14). It is
+    computed and published when the session first asks for it, and again when
+    the given tables have changed."""
+    known = spark.sparkContext.__dict__.setdefault("_served_facts", {})
+    state = state_of(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet")
+    if known.get(sf_dir, (None,))[0] != state:
+        path = work_path(spark, "tables", "served", unique=True)
+        publish_facts(spark, facts(spark, sf_dir), path)
+        known[sf_dir] = (state, path)
+    return read_table(spark, known[sf_dir][1])
 
 
 def selected_trip(spark, sf_dir) -> DataFrame:
     """The trip the dashboard shows first: the highest trip id among the
     facts that has a trip row (one row, derived from the data)."""
-    ids = facts(spark, sf_dir).select("trip_id").join(B.trips(spark, sf_dir).select("trip_id"),
-                                                      "trip_id", "left_semi")
+    ids = served_facts(spark, sf_dir).select("trip_id").join(B.trips(spark, sf_dir).select("trip_id"), "trip_id", "left_semi")
     return ids.agg(F.max("trip_id").alias("trip_id"))
 
 
 def selected_trip_value(spark, sf_dir):
     """The selected trip as a literal parameter (one scalar, as the dashboard
     passes it), so the key filter is pushed down to the scans."""
-    row = selected_trip(spark, sf_dir).first()
-    return row[0] if row else None
+    return selected_trip(spark, sf_dir).first()[0]
 
 
 @query("c5_trip_options")
 def c5_trip_options(spark, sf_dir):
-    return S.trip_options(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+    return S.trip_options(served_facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
 
 
 @query("o5_label_unique")
@@ -66,9 +80,9 @@ def o5_label_unique(spark, sf_dir):
 
 @query("o1_top_k")
 def o1_top_k(spark, sf_dir):
-    rows = (S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
-            .select("trip_id", "route_id", "route_short_name", "trip_headsign").distinct())
-    return S.top_k(rows, "trip_id", 100, ["route_id", "route_short_name", "trip_headsign"])
+    """The list of the highest trips, without labels: the ids are reduced and
+    cut before the dimensions are joined."""
+    return c5_trip_options(spark, sf_dir).drop("display")
 
 
 @query("a4_group_dedup")
@@ -79,7 +93,7 @@ def a4_group_dedup(spark, sf_dir):
 
 @query("c6_late_stops")
 def c6_late_stops(spark, sf_dir):
-    return S.late_stops(facts(spark, sf_dir), selected_trip_value(spark, sf_dir))
+    return S.late_stops(served_facts(spark, sf_dir), selected_trip_value(spark, sf_dir))
 
 
 @query("c6_late_stops_all")
@@ -94,12 +108,12 @@ def p13_late_filter(spark, sf_dir):
 
 @query("p12_key_filter")
 def p12_key_filter(spark, sf_dir):
-    return S.key_filter(facts(spark, sf_dir), "trip_id", selected_trip_value(spark, sf_dir))
+    return S.key_filter(served_facts(spark, sf_dir), "trip_id", selected_trip_value(spark, sf_dir))
 
 
 @query("p14_series_project")
 def p14_series_project(spark, sf_dir):
-    return S.delay_series(facts(spark, sf_dir), selected_trip_value(spark, sf_dir))
+    return S.delay_series(served_facts(spark, sf_dir), selected_trip_value(spark, sf_dir))
 
 
 @query("o2_sort")
@@ -157,7 +171,6 @@ def p1_project(spark, sf_dir):
 from adherence import schemas as SC  # noqa: E402
 from adherence.operators import quality as Q  # noqa: E402
 from adherence.plans.pipelines import load_static  # noqa: E402
-from adherence.session import work_path  # noqa: E402
 from adherence.sources.csv import load_csv  # noqa: E402
 
 
@@ -422,7 +435,6 @@ def p11_trip_update_map(spark, sf_dir):
 # ---------------------------------------------------------------- streaming
 from adherence.sources.stream import file_stream, land_records  # noqa: E402
 from adherence.streaming import jobs as J  # noqa: E402
-from adherence.streaming.sink import FactTable  # noqa: E402
 
 
 def landed_feeds(spark, sf_dir, files: int | None = None) -> str:
@@ -431,21 +443,23 @@ def landed_feeds(spark, sf_dir, files: int | None = None) -> str:
     return folder
 
 
+def delay_log(spark, sf_dir, deliveries: int = 1) -> DataFrame:
+    """The log of the delay stream over the landed feeds, which are delivered
+    (landed, and the stream run) ``deliveries`` times."""
+    log, ck = (work_path(spark, kind, "c2", unique=True) for kind in ("tables", "streams"))
+    folder = work_path(spark, "landing", "feeds", unique=True)
+    for _ in range(deliveries):
+        land_records(FB.feeds(spark, sf_dir), folder, "trip-updates", ts_col="feed_ts")
+        J.run_delay_stream(spark, file_stream(spark, folder, max_files_per_trigger=8), B.stop_times_raw(spark, sf_dir), log, ck,
+                           trigger={"availableNow": True}).awaitTermination()
+    return spark.read.parquet(log)
+
+
 @query("c2_trip_delays_stream")
 def c2_trip_delays_stream(spark, sf_dir):
     """C2 end to end as a stream: landed feed records -> file stream (S6) ->
-    foreachBatch (decode, flatten, lookup, delay) -> keyed upsert (S11)."""
-    folder = landed_feeds(spark, sf_dir)
-    st = B.stop_times_raw(spark, sf_dir)
-    ups_schema = J.updates_from_records(spark.read.parquet(folder).limit(0),
-                                        {"trip_id": "bigint", "stop_id": "bigint", "stop_sequence": "int"})[0]
-    order_type = ups_schema.schema["arrival_order"].dataType
-    table = FactTable(spark, work_path(spark, "tables", "trip_delays", unique=True),
-                      J.fact_schema(st, B.KEYS, order_type), B.KEYS)
-    q = J.run_delay_stream(spark, file_stream(spark, folder, max_files_per_trigger=8), st, table,
-                           work_path(spark, "streams", "c2", unique=True), trigger={"availableNow": True})
-    q.awaitTermination()
-    return table.read()
+    decode, flatten, lookup, delay -> log -> last good row per key (S11)."""
+    return J.current_facts(delay_log(spark, sf_dir), B.KEYS)
 
 
 # ---------------------------------------------------------------- analytics
@@ -526,7 +540,6 @@ def t1_latest_per_key(spark, sf_dir):
 
 
 # ------------------------------------------------- streams into their sinks
-from adherence.sources.tables import publish, read_table  # noqa: E402
 
 
 @query("c3_trip_level_delay")
@@ -552,15 +565,8 @@ def c4_trip_update_log(spark, sf_dir):
 
 @query("t4_replayed_batches")
 def t4_replayed_batches(spark, sf_dir):
-    """Facts upserted in two batches, each sent twice, then compacted."""
-    st = B.stop_times_raw(spark, sf_dir)
-    good = trip_delays(B.stop_updates(spark, sf_dir), st, keys=B.KEYS, order="arrival_order", keep_order=True)
-    table = FactTable(spark, work_path(spark, "tables", "replayed", unique=True),
-                      J.fact_schema(st, B.KEYS, good.schema["arrival_order"].dataType), B.KEYS, compact_every=2)
-    odd = F.col("trip_id") % 2 == 1
-    for batch, rows in ((0, good.filter(odd)), (0, good), (1, good), (1, good.filter(odd))):
-        table.upsert(rows, batch)
-    return table.read()
+    """All feeds delivered twice, the stream stopped and started in between."""
+    return J.current_facts(delay_log(spark, sf_dir, deliveries=2), B.KEYS)
 
 
 @query("s5_table_overwrite")

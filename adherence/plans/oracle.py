@@ -409,7 +409,7 @@ SQL["c1_load_static"] = with_bind_q(
     + _fk("trips", "route_id", "routes", "route_id"))
 
 # ------------------------------------------------------ schedule, streams
-SQL["t4_replayed_batches"] = SQL["c2_trip_delays"]
+SQL["t4_replayed_batches"] = SQL["c2_trip_delays_stream"]
 SQL["s5_table_overwrite"] = with_bind("SELECT * FROM trips")
 SQL["j2_schedule_lookup"] = with_bind("SELECT trip_id, stop_id, stop_sequence, actual_epoch, arrival_time FROM joined")
 _PARTS = "CAST(split_part(arrival_time, ':', {}) AS INTEGER)"
