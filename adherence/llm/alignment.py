@@ -18,9 +18,9 @@ documents' links are then gathered chunk by chunk.
 Plan: documents are dealt to bundles (see ``bundles``); a bundle counts its
 documents per id pair; the pairs' counts are summed and the highest count of
 an A id is found (at most one row per id: the bound of the broadcast); the
-sums go back to the bundles that hold the pair, joined with the texts again
-(the same exchange). What is shuffled for a pair is one row per bundle, however
-many documents hold it.
+sums go back to the bundles that hold the pair, joined with the texts again.
+What is shuffled for a pair is one row per bundle, however many documents
+hold it.
 
 Defined results: null or empty texts, texts that are not UTF-8, and texts that
 either side's tokens do not spell byte by byte, have no tokens: zeros, '' for
@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from adherence.llm.bundles import bundle_count, bundled, ragged
-from adherence.llm.common import table
+from adherence.llm.common import checkpointed, table
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
 B_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -271,7 +271,8 @@ def align(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE, id_col: s
         of = np.full(len(pairs), rows.column("bundle")[0].as_py())
         return pa.Table.from_arrays([pa.array(pairs, pa.int64()), pa.array(docs, pa.int64()), pa.array(of, pa.int32())], schema=PAIRS)
 
-    pairs = rows.groupBy("bundle").applyInArrow(lambda t: count(t), "pair long, n long, of int")
+    # Written once: a row per bundle and pair, read for the sums and for the best.
+    pairs = checkpointed(rows.groupBy("bundle").applyInArrow(lambda t: count(t), "pair long, n long, of int"))
     pairs = pairs.select("pair", "of", F.sum("n").over(Window.partitionBy("pair")).alias("n"))
     a_id = F.floor(F.col("pair") / F.lit(n_b_ids))
     best = pairs.groupBy(a_id.alias("a")).agg(F.max("n").alias("best"))  # a row per A id at most
