@@ -53,6 +53,7 @@ MEMO = 300_000
 #: fields), and elements that do not end a block (formulas and drawings among them).
 HIDDEN_TAGS = frozenset("script style template head title textarea select iframe annotation annotation-xml".split())
 CODE = frozenset("script style".split())
+SILENT = HIDDEN_TAGS - {"head", "title"}  # they end no block
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img input ins kbd label mark "
                    "q s samp small span strike strong sub sup time tt u var wbr nobr "
                    "math semantics mrow mi mn mo ms mtext mfrac msqrt mroot msub msup msubsup munder mover munderover mspace "
@@ -138,7 +139,7 @@ def blocks_of(page: str | None) -> list[Block]:
             if parts:
                 parts.append(" ")
             continue
-        if tag not in INLINE:
+        if tag not in INLINE and tag not in SILENT:
             flush()
             # What this start tag ends: paragraphs and inline elements, siblings.
             k = len(stack)

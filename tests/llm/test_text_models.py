@@ -302,3 +302,35 @@ def test_labeller_gradient():
         up[name][at] += 1e-2
         down[name][at] -= 1e-2
         assert abs((loss(up) - loss(down)) / 2e-2 - grad[at]) < 1e-4
+
+
+@pytest.mark.parametrize("n", [60, 700])
+def test_windows_sample_the_paths_of_the_whole_lattice(lattices, n):
+    rnd = random.Random(n)
+    for key in (1, 2 ** 63 + 5):
+        chunk = " " + "".join(rnd.choice("abcdefghijklmnop日é🙂") for _ in range(n))
+        ids, _ = lattices.sample(np.array(lattices.add([chunk])), np.array([key], np.uint64))
+        assert lattices.sample_long(chunk, key, window=37).tolist() == ids.tolist()
+
+
+def test_a_long_text_without_blanks_takes_little_memory(lattices):
+    import tracemalloc
+    text = "日本語abc🙂x" * 25_000
+    lattices.encode(["warm"], ["w"])
+    tracemalloc.start()
+    ids, other = lattices.encode([text, "two words"], ["k", "l"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lattices.decode(ids) == text.encode() and lattices.decode(other) == b"two words"
+    assert peak < 60e6  # the dense arrays of the whole chunk would take more than 400 MB
+
+
+def test_article_text_of_formulas_objects_and_unclosed_elements_is_kept():
+    from adherence.llm.html_blocks import blocks_of
+    page = ("<article><p>Energy is <math><mi>E</mi></math> here.</p><noscript><p>fallback text</p></noscript><p>after</p>"
+            "<object>x <p>rest</p><p>more</p></article>")
+    assert [b.text for b in blocks_of(page)] == ["Energy is E here.", "fallback text", "after", "x", "rest", "more"]
+    assert [b.text for b in blocks_of("<p>a</p><textarea>no</textarea><iframe>no</iframe><p>b<script>no</script>c</p><select><option>no</select><p>d")] \
+        == ["a", "bc", "d"]
+    assert [b.text for b in blocks_of("<p>a</p><textarea><p>b</p>")] == ["a", "b"]   # never closed: it hides nothing
+    assert [b.text for b in blocks_of("<p>a</p><script>var b")] == ["a"]
