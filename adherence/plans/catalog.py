@@ -1017,3 +1017,44 @@ def j2_stream(spark, sf_dir):
 
     TN.in_turns([stops, *TN.parts_by(updates, "actual_epoch", 2)], landing, start)
     return spark.read.parquet(sink)
+
+
+# ------------------------------------------------------ feeds of a network
+def network_entities(spark, sf_dir) -> DataFrame:
+    good, _ = FD.split_rejects(FD.decode(day_feeds(spark, sf_dir), keep=["feed_key"]))
+    return good
+
+
+@query("t5_decode_network")
+def t5_decode_network(spark, sf_dir):
+    """T5 over feeds of the whole network, one per day: many entities each."""
+    return FL.stop_updates(network_entities(spark, sf_dir), keep=["feed_key"]).select(
+        "feed_key", "feed_ts", "entity_pos", "entity_id", "trip_id", "route_id", "start_date", "trip_delay",
+        "stop_pos", "stop_id", "stop_sequence", "arrival_epoch", "departure_epoch")
+
+
+@query("p5_explode_network")
+def p5_explode_network(spark, sf_dir):
+    """P5 on nested feeds of many entities."""
+    feeds = FD.decode(day_feeds(spark, sf_dir), keep=["feed_key"], level="feed")
+    return FL.explode_entities(feeds.filter("decode_error IS NULL")).select(
+        "feed_key", "entity_pos", F.col("entity.id").alias("entity_id"), F.size("entity.trip_update.stop_time_update").alias("n_stops"))
+
+
+@query("s9_network_publish")
+def s9_network_publish(spark, sf_dir):
+    return day_feeds(spark, sf_dir).select("feed_key", "feed_ts", "n_entities", "n_stops")
+
+
+@query("s9_publish_checked")
+def s9_publish_checked(spark, sf_dir):
+    """Given feeds, some damaged and some empty: the good ones are landed as
+    they are, the others come back with an error."""
+    landing = work_path(spark, "landing", "checked", unique=True)
+    day = F.floor(F.col("feed_ts") / 86400) % 5
+    value = F.when(day == 0, F.concat("value", F.unhex(F.lit("FF")))).when(day == 1, None).otherwise(F.col("value"))
+    given = day_feeds(spark, sf_dir).select("feed_key", "feed_ts", value.alias("value"))
+    bad = FD.publish_checked(given, lambda good: land_records(good, landing, "feeds", ts_col="feed_ts"))
+    sent = FD.decode(spark.read.parquet(landing), keep=[]).select(F.col("header.timestamp").alias("feed_ts"), "entity_pos")
+    return (sent.groupBy("feed_ts").agg(F.count("*").alias("entities")).withColumn("sent", F.lit(True))
+                .unionByName(bad.select("feed_ts", F.lit(0).cast("long").alias("entities"), F.lit(False).alias("sent"))))

@@ -564,3 +564,13 @@ SQL["r1_percentiles"] = SQL["r1_delay_hotspots"][: SQL["r1_delay_hotspots"].inde
 SELECT 'route' AS level, route_id::VARCHAR AS of, count(*) AS n, true AS p50_near, true AS p90_near FROM e GROUP BY route_id
 UNION ALL SELECT 'hour', hour::VARCHAR, count(*), true, true FROM e GROUP BY hour
 UNION ALL SELECT 'all', '', count(*), true, true FROM e"""
+
+# ------------------------------------------------------ feeds of a network
+_KEY = "strftime(l.l_shipdate, '%Y%m%d') || '/' || CAST(l.l_orderkey // 64 AS VARCHAR) AS feed_key"
+for _wide, _narrow in (("t5_decode_network", "t5_decode_feed"), ("p5_explode_network", "p5_explode_entities"),
+                       ("s9_network_publish", "s9_feed_publish")):
+    assert _KEY in SQL[_narrow]
+    SQL[_wide] = SQL[_narrow].replace(_KEY, "strftime(l.l_shipdate, '%Y%m%d') AS feed_key")
+SQL["s9_publish_checked"] = """
+WITH d AS (SELECT CAST(epoch(date_trunc('day', l_shipdate)) AS BIGINT) AS feed_ts, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)
+SELECT feed_ts, CASE WHEN feed_ts // 86400 % 5 < 2 THEN 0 ELSE n END::BIGINT AS entities, feed_ts // 86400 % 5 >= 2 AS sent FROM d"""

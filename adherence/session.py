@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -55,6 +55,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """The rows written to the shared checkpoint folder, to go on from there."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     """A path below the shared checkpoint folder (optionally made unique)."""
     base = ensure_checkpoint_dir(spark)

@@ -271,6 +271,47 @@ def split_rejects(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, bad
 
 
+def checked(df: DataFrame, value_col: str = "value", root: str = "FeedMessage") -> DataFrame:
+    """S9 for given bytes: ``df`` with ``n_entities`` (null for other roots) and
+    ``decode_error``, null where the bytes are a message that can be published.
+    The bytes stay as they are; nothing is unfolded into rows."""
+    names = df.columns
+    out = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields] + ["n_entities int", "decode_error string"])
+    schema = _arrow_schema(out)
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        cls = message_class(root)
+        for batch in batches:
+            sizes, errors = [], []
+            for raw in batch.column(value_col).to_pylist():
+                size = error = None
+                try:
+                    if raw is None:
+                        raise ValueError("no value")
+                    msg = cls()
+                    msg.ParseFromString(bytes(raw))
+                    check_values(msg, root)
+                    size = len(msg.entity) if root == "FeedMessage" else None
+                except Exception as ex:  # noqa: BLE001 - bad bytes are a reject
+                    error = f"{type(ex).__name__}: {ex}"
+                sizes.append(size)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), pa.array(sizes, pa.int32()),
+                                              pa.array(errors, pa.string())], schema=schema)
+
+    return df.mapInArrow(run, out)
+
+
+def publish_checked(feeds: DataFrame, publish, value_col: str = "value", root: str = "FeedMessage") -> DataFrame:
+    """Hand the good records to ``publish`` (a function of a frame, such as
+    ``land_records`` with its folder); the rejects with their error."""
+    from adherence.session import checkpointed
+    rows = checkpointed(checked(feeds, value_col, root))  # parsed once for both
+    publish(rows.filter("decode_error IS NULL").drop("decode_error", "n_entities"))
+    return rows.filter("decode_error IS NOT NULL").drop("n_entities")
+
+
 # ------------------------------------------------------------ encode
 def _fill(msg, mname: str, data: dict) -> None:
     for fname, _, ftype, label in MESSAGES[mname]:

@@ -152,3 +152,36 @@ def test_latest_vehicle(spark):
     df = spark.createDataFrame([(feed(5, "a", 1.0),), (feed(9, "a", 3.0),), (feed(7, "a", 2.0),), (feed(1, "b", 4.0),)], "value binary")
     got = FL.latest_vehicles(FL.vehicle_positions(FD.decode(df))).collect()
     assert sorted((r.vehicle_id, r.latitude) for r in got) == [("a", 3.0), ("b", 4.0)]
+
+
+def test_publishing_given_bytes_rejects_the_bad_ones(spark, tmp):
+    df = records(spark, [*FEEDS, None])
+    bad = FD.publish_checked(df, lambda good: good.write.parquet(tmp))
+    assert sorted(r.offset for r in bad.collect()) == [2, 3] and bad.filter("decode_error IS NULL").count() == 0
+    sent = spark.read.parquet(tmp)
+    assert sent.columns == df.columns and [bytes(r.value) for r in sent.orderBy("offset").collect()] == [bytes(f) for f in FEEDS[:2]]
+    sizes = {r.offset: r.n_entities for r in FD.checked(df).collect()}
+    assert sizes == {0: 3, 1: 0, 2: None, 3: None}
+
+
+def test_start_positions(spark, tmp):
+    import pytest
+    from adherence.sources.stream import file_stream, kafka_options, land_records
+    base = {"kafka.bootstrap.servers": "h:1", "subscribe": "t"}
+    assert kafka_options("h:1", "t") == base | {"startingOffsets": "latest"}
+    assert kafka_options("h:1", "t", "earliest", "g") == base | {"startingOffsets": "earliest", "kafka.group.id": "g"}
+    assert kafka_options("h:1", "t", {"t": {"0": 5}}, options={"maxOffsetsPerTrigger": 9}) == base | {
+        "startingOffsets": '{"t": {"0": 5}}', "maxOffsetsPerTrigger": "9"}
+    assert kafka_options("h:1", "t", 1000) == base | {"startingTimestamp": "1000"}
+    for wrong in ("newest", None, 1.5, True):
+        with pytest.raises(ValueError):
+            kafka_options("h:1", "t", wrong)
+    land_records(spark.createDataFrame([(bytearray(b"a"), 10), (bytearray(b"b"), 20)], "value binary, feed_ts long"), f"{tmp}/in", "t",
+                 ts_col="feed_ts")
+    for name, starting, want in (("all", "earliest", [b"a", b"b"]), ("late", 15_000, [b"b"])):
+        q = (file_stream(spark, f"{tmp}/in", starting=starting).select("value").writeStream.format("parquet")
+             .option("path", f"{tmp}/{name}").option("checkpointLocation", f"{tmp}/ck-{name}").trigger(availableNow=True).start())
+        q.awaitTermination()
+        assert sorted(bytes(r.value) for r in spark.read.parquet(f"{tmp}/{name}").collect()) == want
+    with pytest.raises(ValueError):
+        file_stream(spark, f"{tmp}/in", starting="latest")
