@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
@@ -63,46 +63,77 @@ def sample_of(df: DataFrame, keys: Sequence[str], n: int = SAMPLE_N) -> DataFram
     return top.agg(F.array_sort(F.collect_list(key_text(keys))).alias("sample"))
 
 
-def table_checks(df: DataFrame, table: str, keys: Sequence[str] | None = None,
-                 schema: StructType | None = None, non_nullable: Iterable[str] | None = None,
-                 sample_n: int = SAMPLE_N) -> DataFrame:
-    """Q3 + Q4 + Q5 + Q6 for one table.
+COUNTED = ("row_count", "null_check", "type_match")
 
-    ``df`` is the table as read (text columns for CSV, typed otherwise);
-    ``schema`` the declared schema: its non-nullable fields are null-checked
-    and text columns declared with another type are type-checked."""
+
+def counted_checks(df: DataFrame, schema: StructType | None = None, non_nullable: Iterable[str] | None = None,
+                   checks: Iterable[str] = COUNTED) -> list[tuple[str, str | None, Column]]:
+    """(check, column, aggregate) of the checks that a count over the rows
+    decides (Q3, Q4, Q6): one global aggregate, no shuffle of rows."""
     cols = set(df.columns)
     if non_nullable is None:
         non_nullable = [f.name for f in schema.fields if not f.nullable] if schema is not None else []
-    nn = [c for c in non_nullable if c in cols]
-    typed = []
-    if schema is not None:
-        for f in schema.fields:
-            if f.name in cols and _bad_type(df, f.name, f.dataType) is not None:
-                typed.append((f.name, f.dataType))
-    # Counts that need no grouping: one global aggregate, no shuffle of rows.
-    per_row = [F.count_if(null_or_empty(df, c)).alias(f"n_{i}") for i, c in enumerate(nn)]
-    per_row += [F.count_if(_bad_type(df, c, t)).alias(f"t_{i}") for i, (c, t) in enumerate(typed)]
-    totals = df.agg(F.count(F.lit(1)).alias("_rows"), *per_row)
-    rows = [_row(table, "row_count", None, F.col("_rows"))]
-    rows += [_row(table, "null_check", c, F.col(f"n_{i}")) for i, c in enumerate(nn)]
-    rows += [_row(table, "type_match", c, F.col(f"t_{i}")) for i, (c, _) in enumerate(typed)]
-    keys = list(keys or [])
-    absent = [k for k in keys if k not in cols]
-    if absent:  # a part of the key says nothing about the key
-        rows.append(_row(table, "skipped", ",".join(keys), F.lit(None)))
-    # One aggregate row -> one report row per check, via an array of structs.
-    report = totals.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
-    if not keys or absent:
-        return report
-    # Uniqueness: one shuffle of the key columns alone, read by both branches
-    # (the same exchange), for the count and for the smallest repeated keys.
-    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    found: list[tuple[str, str | None, Column]] = []
+    if "row_count" in checks:
+        found.append(("row_count", None, F.count(F.lit(1))))
+    if "null_check" in checks:
+        found += [("null_check", c, F.count_if(null_or_empty(df, c))) for c in non_nullable if c in cols]
+    if "type_match" in checks and schema is not None:
+        bad = [(f.name, _bad_type(df, f.name, f.dataType)) for f in schema.fields if f.name in cols]
+        found += [("type_match", c, F.count_if(x)) for c, x in bad if x is not None]
+    return found
+
+
+def unique_check(df: DataFrame, table: str, keys: Sequence[str], sample_n: int = SAMPLE_N) -> DataFrame:
+    """Q5: excess rows of repeated keys, and the smallest such keys. One shuffle
+    of the key columns alone, read by both branches (the same exchange). A key
+    with a column that the table lacks says nothing and is reported so."""
     label = ",".join(keys)
+    if any(k not in df.columns for k in keys):
+        return df.sparkSession.createDataFrame([(table, "skipped", label, None, None)], REPORT_SCHEMA)
+    grouped = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     count = grouped.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("v"))
     dups = sample_of(grouped.filter(F.col("_n") > 1), keys, sample_n)
     unique = count.join(F.broadcast(dups), F.lit(True), "left")  # one row each
-    return report.unionByName(unique.select(*_row(table, "unique_check", label, F.col("v"), F.col("sample"))))
+    return unique.select(*_row(table, "unique_check", label, F.col("v"), F.col("sample")))
+
+
+def table_checks(df: DataFrame, table: str, keys: Sequence[str] | None = None,
+                 schema: StructType | None = None, non_nullable: Iterable[str] | None = None,
+                 sample_n: int = SAMPLE_N, checks: Iterable[str] = (*COUNTED, "unique_check")) -> DataFrame:
+    """Q3 + Q4 + Q5 + Q6 for one table, or those named in ``checks``.
+
+    ``df`` is the table as read (text columns for CSV, typed otherwise);
+    ``schema`` the declared schema: its non-nullable fields are null-checked
+    and text columns declared with another type are type-checked."""
+    parts = []
+    counted = counted_checks(df, schema, non_nullable, checks)
+    if counted:
+        totals = df.agg(*[agg.alias(f"c_{i}") for i, (_, _, agg) in enumerate(counted)])
+        rows = [F.struct(*_row(table, check, column, F.col(f"c_{i}"))) for i, (check, column, _) in enumerate(counted)]
+        # One aggregate row -> one report row per check, via an array of structs.
+        parts.append(totals.select(F.inline(F.array(*rows))))
+    if keys and "unique_check" in checks:
+        parts.append(unique_check(df, table, list(keys), sample_n))
+    out = parts[0] if parts else df.sparkSession.createDataFrame([], REPORT_SCHEMA)
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def staged_checks(df: DataFrame, path: str, table: str, keys: Sequence[str] | None = None,
+                  schema: StructType | None = None, non_nullable: Iterable[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(staged table, report): ``df`` written to ``path``, with the counts of Q3,
+    Q4 and Q6 observed while it is written, so that they take no scan of their
+    own; Q5 reads the key columns of what was written."""
+    counted = counted_checks(df, schema, non_nullable)
+    seen = Observation(f"{table} while staging")
+    df.observe(seen, *[agg.alias(f"c_{i}") for i, (_, _, agg) in enumerate(counted)]).write.mode("overwrite").parquet(path)
+    counts = seen.get
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    report = df.sparkSession.createDataFrame(
+        [(table, check, column, counts[f"c_{i}"], None) for i, (check, column, _) in enumerate(counted)], REPORT_SCHEMA)
+    return staged, report.unionByName(unique_check(staged, table, list(keys))) if keys else report
 
 
 def foreign_key(child: DataFrame, parent: DataFrame, child_col: str, parent_col: str,

@@ -574,3 +574,4 @@ for _wide, _narrow in (("t5_decode_network", "t5_decode_feed"), ("p5_explode_net
 SQL["s9_publish_checked"] = """
 WITH d AS (SELECT CAST(epoch(date_trunc('day', l_shipdate)) AS BIGINT) AS feed_ts, count(DISTINCT l_orderkey) AS n FROM lineitem GROUP BY 1)
 SELECT feed_ts, CASE WHEN feed_ts // 86400 % 5 < 2 THEN 0 ELSE n END::BIGINT AS entities, feed_ts // 86400 % 5 >= 2 AS sent FROM d"""
+SQL["q6_counts_while_staging"] = with_bind_q(f"SELECT * FROM ({_REPORT})")

@@ -10,7 +10,7 @@ from adherence import schemas as SC
 from adherence.operators import quality as Q
 from adherence.session import work_path
 from adherence.sources import tables as T
-from adherence.sources.csv import load_csv
+from adherence.sources.csv import load_csv, typed_view
 
 
 @dataclass
@@ -27,21 +27,20 @@ def load_static(spark: SparkSession, folder: str, out_root: str | None = None,
     then the links; publish every table only when all checks pass.
 
     With ``stage`` each CSV is parsed once into parquet under the shared
-    checkpoint folder; checks and publishing read the columnar copy, so each
-    file is parsed once instead of once per check."""
+    checkpoint folder, and its rows, nulls and types are counted by that write;
+    the other checks and publishing read the columnar copy."""
     reports, typed = [], {}
     stage_root = work_path(spark, "stage", unique=True)
     for name in names:
         schema = SC.STATIC_SCHEMAS[name]
         t = load_csv(spark, f"{folder.rstrip('/')}/{name}.txt", schema, name)
-        raw = t.raw
+        reports.append(Q.header_checks(spark, name, t.header, schema, SC.REQUIRED_COLUMNS[name]))
         if stage:
-            raw.write.mode("overwrite").parquet(f"{stage_root}/{name}")
-            raw = spark.read.parquet(f"{stage_root}/{name}")
-        from adherence.sources.csv import typed_view
+            raw, found = Q.staged_checks(t.raw, f"{stage_root}/{name}", name, SC.PRIMARY_KEYS[name], schema)
+        else:
+            raw, found = t.raw, Q.table_checks(t.raw, name, SC.PRIMARY_KEYS[name], schema)
         typed[name] = typed_view(raw, schema)
-        reports.append(Q.header_checks(spark, name, t.header, schema, SC.REQUIRED_COLUMNS[name]))
-        reports.append(Q.table_checks(raw, name, SC.PRIMARY_KEYS[name], schema))
+        reports.append(found)
     if links:
         reports.append(Q.integrity(typed, links))
     report = reports[0]

@@ -100,3 +100,25 @@ def test_schema_export_roundtrip(spark, local_tmp):
         assert SC.load_schema(name, spark, local_tmp) == SC.STATIC_SCHEMAS[name]
     with pytest.raises(FileNotFoundError):
         SC.load_schema("routes", spark, os.path.join(local_tmp, "missing"))
+
+
+def test_counts_are_observed_by_the_staging_write(spark, tmp):
+    from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+    schema = StructType([StructField("id", StringType(), False), StructField("n", IntegerType()), StructField("t", StringType(), False)])
+    raw = spark.createDataFrame([("a", "1", "x"), ("a", "two", ""), (None, " 3 ", "y"), ("", None, None)], "id string, n string, t string")
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            reads.add(b.num_rows)
+            yield b
+    staged, report = Q.staged_checks(raw.mapInArrow(counted, "id string, n string, t string"), tmp, "k", ["id"], schema)
+    want = Q.table_checks(raw, "k", ["id"], schema)
+    assert sorted(map(str, report.collect())) == sorted(map(str, want.collect()))
+    assert reads.value == 4 and sorted(map(str, staged.collect())) == sorted(map(str, raw.collect()))  # the input is read once
+    found = {(r.check, r.column): r.violations for r in report.collect()}
+    assert found[("row_count", None)] == 4 and found[("null_check", "t")] == 2 and found[("type_match", "n")] == 1
+    only = Q.table_checks(raw, "k", ["id"], schema, checks=["unique_check"])
+    assert [r.check for r in only.collect()] == ["unique_check"]
+    empty, none = Q.staged_checks(raw.limit(0), tmp + "-0", "k", ["nothing"], schema)
+    assert empty.count() == 0 and {r.check for r in none.collect()} >= {"row_count", "skipped"}
