@@ -47,12 +47,12 @@ SPACE = "▁"
 ZIPF_SHIFT = 2.7
 SHARPNESS = 1.0
 #: Chunks kept per worker, and characters sampled at a time.
-MEMO_CHUNKS = 300_000
-BATCH_CHARS = 1_500_000
+MEMO_CHUNKS = 150_000
+BATCH_CHARS = 750_000
 LONG_CHUNK = 64
 WINDOW = 1 << 13
 _DENSE = 128
-_CELLS = 1 << 17  # places of chunks filtered at once
+_CELLS = 1 << 16  # places of chunks filtered at once
 _CHUNK = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 _SCALE = math.log(10.0)  # per character; equal for all paths of a chunk
 
