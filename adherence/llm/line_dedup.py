@@ -101,7 +101,7 @@ def repeated_places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Cut once: the chunks that may go are written, and read for the groups
     # (with their bodies) and for the places (without).
     path = work_path(docs.sparkSession, "line_dedup", unique=True)
-    rows.drop("lines", "words").withColumn("place", _place()).write.parquet(path)
+    rows.drop("lines", "words").withColumn("place", _place()).write.option("compression", "zstd").parquet(path)
     rows = docs.sparkSession.read.parquet(path)
     groups = (rows.groupBy("hash", "body").agg(F.min("place").alias("first"), F.max("place").alias("last"))
                   .groupBy("hash").agg(F.count("*").alias("contents"), F.min("first").alias("first"),

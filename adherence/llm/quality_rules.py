@@ -213,7 +213,7 @@ def filter_documents(docs: DataFrame) -> DataFrame:
     # The texts are measured once: rows and metrics are written to the shared
     # folder, the sketches read the metrics alone, the verdict reads both.
     path = work_path(docs.sparkSession, "quality_rules", unique=True)
-    with_metrics(docs, prefix=p).write.parquet(path)
+    with_metrics(docs, prefix=p).write.option("compression", "zstd").parquet(path)
     m = docs.sparkSession.read.parquet(path)
     limits = thresholds(sketches(m, prefix=p))
     return judge(m, limits, prefix=p, kept=p + "kept").filter(F.col(p + "kept")).select(*[F.col(f"`{c}`") for c in before])
