@@ -50,6 +50,7 @@ HOT_SHARE = 1e-5
 ROUNDS = 2
 RATE = 0.15
 STEP_TOKENS = 4096
+TASK_TOKENS = 4_000_000
 COUNTER_WORDS = 400_000
 BATCH_BYTES = 1 << 20
 _P = 0x100000001B3
@@ -284,8 +285,11 @@ def local_updates(lists, model: Model) -> tuple[np.ndarray, np.ndarray]:
     return w - model.weights, seen
 
 
-def train_round(docs: DataFrame, model: Model) -> None:
-    """One round over ``docs`` (text): local steps in every task, averaged."""
+def train_round(docs: DataFrame, model: Model, tokens: int) -> None:
+    """One round over ``docs`` (text): local steps in every task, averaged. A
+    task sends a change of the whole table, so there are as many as the
+    ``tokens`` of all training texts ask for, however many files hold them."""
+    docs = docs.coalesce(max(1, -(-tokens // TASK_TOKENS)))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = [f"w{k}" for k in range(CLASSES)]
 
@@ -338,7 +342,7 @@ def fit(train: DataFrame, counts: DataFrame) -> tuple[Model, dict[str, int], int
     model = Model(singles, class_n, class_v)
     part = F.pmod(F.xxhash64("text"), F.lit(ROUNDS))
     for k in range(ROUNDS if n else 0):
-        train_round(train.filter(part == k).select("text"), model)
+        train_round(train.filter(part == k).select("text"), model, n)
     return model, hot, n, v
 
 
