@@ -18,9 +18,11 @@ documents' links are then gathered chunk by chunk.
 Plan: documents are dealt to bundles (see ``bundles``); a bundle counts its
 documents per id pair; the pairs' counts are summed and the highest count of
 an A id is found (at most one row per id: the bound of the broadcast); the
-sums go back to the bundles that hold the pair, joined with the texts again.
-What is shuffled for a pair is one row per bundle, however many documents
-hold it.
+sums go back to the bundles that hold the pair. A bundle is encoded and aligned
+once: beside its pairs it writes its documents' counts, their groups, and for each
+link the place of its pair among the bundle's (packed), which is all that the
+sums are then met with. What is shuffled for a pair is one row per bundle,
+however many documents hold it.
 
 Defined results: null or empty texts, texts that are not UTF-8, and texts that
 either side's tokens do not spell byte by byte, have no tokens: zeros, '' for
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from adherence.llm.bundles import bundle_count, bundled, ragged
+from adherence.llm.bundles import bundle_count, bundled, pack, ragged, unpack
 from adherence.llm.common import checkpointed, table
 
 A_FILE = "/opt/tokenizers/byte_bpe_50k.json"
@@ -250,7 +252,12 @@ def _aligned(rows: pa.Table, a_file: str, b_file: str) -> Aligned:
     return Aligned(rows, _CHUNKS[a_file, b_file])
 
 
-PAIRS = pa.schema([("pair", pa.int64()), ("n", pa.int64()), ("of", pa.int32())])
+DOC = pa.struct([("doc_id", pa.int64()), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()),
+                 ("n_links", pa.int64()), ("text", pa.string())])
+#: What a bundle gives: a row for each pair, and one with its documents and links.
+FOUND = pa.schema([("of", pa.int32()), ("pair", pa.int64()), ("n", pa.int64()), ("docs", pa.list_(DOC)), ("links", pa.binary())])
+FOUND_DDL = ("of int, pair long, n long, docs array<struct<doc_id: long, n_a: long, n_b: long, n_groups: long, n_links: long, "
+             "text: string>>, links binary")
 
 
 def align(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE, id_col: str = "doc_id", text_col: str = "text",
@@ -263,45 +270,54 @@ def align(docs: DataFrame, a_file: str = A_FILE, b_file: str = B_FILE, id_col: s
     rows = bundled(docs, n, id_col, text_col)
 
     def count(rows: pa.Table) -> pa.Table:
-        """Bundle -> its id pairs with the number of documents that link them."""
+        """Bundle -> its id pairs with the number of documents that link them,
+        and its documents with the places of their links' pairs."""
         own = _aligned(rows, a_file, b_file)
         width = np.int64(len(own.stats[0]) + 1)
-        once = np.unique(own.pairs * width + own.doc) // width
-        pairs, docs = np.unique(once, return_counts=True)
-        of = np.full(len(pairs), rows.column("bundle")[0].as_py())
-        return pa.Table.from_arrays([pa.array(pairs, pa.int64()), pa.array(docs, pa.int64()), pa.array(of, pa.int32())], schema=PAIRS)
-
-    # Written once: a row per bundle and pair, read for the sums and for the best.
-    pairs = checkpointed(rows.groupBy("bundle").applyInArrow(lambda t: count(t), "pair long, n long, of int"))
-    pairs = pairs.select("pair", "of", F.sum("n").over(Window.partitionBy("pair")).alias("n"))
+        pairs, places = np.unique(own.pairs, return_inverse=True)
+        docs = np.bincount(np.unique(places * width + own.doc) // width, minlength=len(pairs))
+        texts = ["".join(g)[:-1] for g in own.rows]
+        if not with_groups:
+            texts = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
+        own_docs = pa.StructArray.from_arrays([rows.column("doc_id").combine_chunks().cast(pa.int64()), *(pa.array(c, pa.int64()) for c in own.stats),
+                                               pa.array(texts, pa.string())], fields=list(DOC))
+        of = rows.column("bundle")[0].as_py()
+        k = len(pairs)
+        listed = pa.ListArray.from_arrays(pa.array([0, len(own_docs)], pa.int32()), own_docs, type=FOUND.field("docs").type)
+        last = lambda x: pa.concat_arrays([pa.nulls(k, x.type), x])
+        return pa.Table.from_arrays([pa.array(np.full(k + 1, of), pa.int32()), pa.concat_arrays([pa.array(pairs, pa.int64()), pa.nulls(1, pa.int64())]),
+                                     pa.concat_arrays([pa.array(docs, pa.int64()), pa.nulls(1, pa.int64())]), last(listed),
+                                     last(pa.array([pack(places.astype(np.int32))], pa.binary()))], schema=FOUND)
+
+    # Written once: the documents, and a row per bundle and pair, read for the sums and for the best.
+    found = checkpointed(rows.groupBy("bundle").applyInArrow(lambda t: count(t), FOUND_DDL))
+    pairs = found.filter(F.col("pair").isNotNull()).select("pair", "of", F.sum("n").over(Window.partitionBy("pair")).alias("n"))
     a_id = F.floor(F.col("pair") / F.lit(n_b_ids))
     best = pairs.groupBy(a_id.alias("a")).agg(F.max("n").alias("best"))  # a row per A id at most
     back = (pairs.withColumn("a", a_id).join(F.broadcast(best), "a")
-                 .select("of", "pair", "n", (F.col("n") == F.col("best")).alias("is_best")))
+                 .select(F.col("of").alias("to"), "pair", "n", (F.col("n") == F.col("best")).alias("is_best")))
 
     name = "groups" if with_groups else "groups_sha256"
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", name]
 
     def finish(rows: pa.Table, found: pa.Table) -> pa.Table:
-        """Bundle and the corpus-wide counts of its pairs -> its documents."""
-        ids = rows.column("doc_id").to_pylist()
-        own = _aligned(rows, a_file, b_file) if ids else None
-        stats = own.stats if ids else np.zeros((4, 0), np.int64)
-        n_best, count_sum = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
-        if len(found) and ids:
-            pair, docs, is_best = (found.column(c).to_numpy(zero_copy_only=False) for c in ("pair", "n", "is_best"))
-            order = np.argsort(pair)
-            place = order[np.searchsorted(pair[order], own.pairs)]
-            n_best = np.bincount(own.doc, weights=is_best[place], minlength=len(ids)).astype(np.int64)
-            np.add.at(count_sum, own.doc, docs[place])
-        texts = ["".join(g)[:-1] for g in own.rows] if ids else []
-        if not with_groups:
-            texts = [hashlib.sha256(t.encode()).hexdigest() if t else "" for t in texts]
-        cols = [*stats, n_best, count_sum]
-        names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", name]
-        return pa.Table.from_arrays([pa.array(ids, pa.int64()), *(pa.array(c, pa.int64()) for c in cols), pa.array(texts, pa.string())], names)
+        """A bundle's documents and the corpus-wide counts of its pairs -> the documents' rows."""
+        own = pa.concat_arrays([x for c in rows.column("docs").chunks for x in [c.flatten()]] or [pa.array([], DOC)])
+        places = np.concatenate([np.empty(0, np.int32), *(unpack(x.as_py(), np.int32)[0] for x in rows.column("links"))])
+        ends = np.cumsum(own.field("n_links").to_numpy())
+        order = np.argsort(found.column("pair").to_numpy())  # the bundle's pairs are found in full
+
+        def added(column: str) -> pa.Array:
+            """Sums over each document's links."""
+            values = found.column(column).to_numpy(zero_copy_only=False).astype(np.int64)[order]
+            total = np.concatenate(([0], np.cumsum(values[places])))
+            return pa.array(np.diff(np.concatenate(([0], total[ends]))), pa.int64())
+
+        return pa.Table.from_arrays([*(own.field(c) for c in names[:5]), added("is_best"), added("n"), own.field("text")], names)
 
     out = f"doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, {name} string"
-    return rows.groupBy("bundle").cogroup(back.groupBy("of")).applyInArrow(lambda left, right: finish(left, right), out)
+    documents = found.filter(F.col("pair").isNull()).select("of", "docs", "links")
+    return documents.groupBy("of").cogroup(back.groupBy("to")).applyInArrow(lambda left, right: finish(left, right), out)
 
 
 def op11_tokenizer_alignment(spark, sf_dir: str) -> DataFrame:
